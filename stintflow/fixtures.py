@@ -17,15 +17,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def feed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``events`` as an event feed: the user is the game, a 30-day month is four periods of 600 s in 20 s ticks."""
+    """``events`` as an event feed: the user is the game, a 30-day month is four periods of 600 s in 20 s ticks.
+
+    Every fifth game crowds its events into few seconds, every other fifth is one-sided and ends with the bench on court,
+    so that rules on crowded seconds and on garbage time are met by many rows.
+    """
     k, n, kind = F.col("k"), F.col("event_id"), F.col("event_type")
     base = table(spark, sf_dir, "events").select(
         F.col("event_id"), F.col("user_id").cast("int").alias("game_id"), kind,
         F.regexp_extract("props", "([0-9]+)", 1).cast("int").alias("k"),
         ((F.dayofmonth("ts") - 1) * 4 + F.floor(F.hour("ts") / 6)).cast("int").alias("tick"))
     live = base.select(
-        "game_id", (1 + F.floor(F.col("tick") / 30)).cast("int").alias("period"), (F.col("tick") * 20).alias("secs"),
-        n.alias("number_event"), k, F.when(n % 2 == 0, "h").otherwise("a").alias("side"),
+        "game_id", (1 + F.floor(F.col("tick") / 30)).cast("int").alias("period"), F.when(F.col("game_id") % 5 == 0, F.floor(F.col("tick") / 10).cast("int") * 200).otherwise(F.col("tick") * 20).alias("secs"),
+        n.alias("number_event"), k, (F.col("game_id") % 5).alias("mode"), F.when(n % 2 == 0, "h").otherwise("a").alias("side"),
         F.when(kind == "click", 1).when(kind == "view", 2).when(kind == "purchase", 3)
         .when(kind == "error", F.when(k < 60, 6).when(k < 80, 5).otherwise(7))
         .otherwise(F.when(k < 40, 8).when(k < 70, 4).when(k < 82, 9).when(k < 86, 18).otherwise(10)).alias("msg_type"))
@@ -35,16 +39,18 @@ def feed(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.struct((F.col("period") * 600).alias("secs"), (F.col("period") - 200).cast("bigint").alias("number_event"), F.lit(13).alias("msg_type")))))
     rows = live.unionByName(marks, allowMissingColumns=True)
 
-    kind, side = F.col("msg_type"), F.col("side")
+    kind, side, mode = F.col("msg_type"), F.col("side"), F.col("mode")
     other = F.when(side == "h", "a").when(side == "a", "h")
-    act = (F.when(kind == 3, F.when(k < 70, 10 + k % 7).otherwise(18 + k % 12)).when(kind == 10, 1).when(kind == 4, k % 2)
-           .when(kind == 6, F.element_at(F.array(*[F.lit(a) for a in (2, 6, 11, 14, 30, 2)]), k % 6 + 1))
+    act = (F.when(kind == 3, F.when(k < 70, F.when(mode == 0, 10).otherwise(10 + k % 7)).otherwise(18 + k % 12)).when(kind == 10, 1).when(kind == 4, k % 2)
+           .when(kind == 6, F.when((mode == 0) & (k % 6 == 3), 11).otherwise(F.element_at(F.array(*[F.lit(a) for a in (2, 6, 11, 14, 30, 2)]), k % 6 + 1)))
            .when(kind == 7, 3).otherwise(0)).cast("int")
     rows = rows.withColumn("act_type", act)
     act, left = F.col("act_type"), F.col("period") * 600 - F.col("secs")
 
     def player(team: Column, shift: int) -> Column:
-        return F.when(team == "h", 100 + (k + shift) % 8).when(team == "a", 200 + (k + shift) % 8).cast("int")
+        bench = F.when(F.col("period") == PERIODS, 4).otherwise(0)
+        number = F.when(mode == 1, (k + shift) % 4 + bench).otherwise((k + shift) % 8)
+        return F.when(team == "h", 100 + number).when(team == "a", 200 + number).cast("int")
 
     def team_id(team: Column) -> Column:
         return F.when(team == "h", 1).when(team == "a", 2)
@@ -61,7 +67,7 @@ def feed(spark: SparkSession, sf_dir: str) -> DataFrame:
         team_id(side).alias("team_id"), team_id(F.when(kind == 6, other).otherwise(side)).alias("off_team_id"),
         player(side, 0).alias("player1_id"), player(side, 3).alias("player2_id"),
         F.when(kind == 6, player(other, 5)).alias("player3_id"), text.alias("description"),
-        F.when(kind == 3, 1).when(side.isNotNull(), 1 + k % 3).cast("int").alias("desc_value"))
+        F.when(kind == 3, 1).when(mode == 1, F.when(side == "h", 3).otherwise(1)).when(side.isNotNull(), 1 + k % 3).cast("int").alias("desc_value"))
 
 
 def player_logs_raw(spark: SparkSession, sf_dir: str) -> DataFrame:

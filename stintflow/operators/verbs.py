@@ -104,3 +104,14 @@ def fallback_join(df: DataFrame, other: DataFrame, fine: Sequence[str], coarse:
     found = df.join(exact, list(fine), "left").withColumn("__open", F.col(value).isNull())
     return (found.join(rough, [*coarse, "__open"], "left")
             .withColumn(value, F.coalesce(F.col(value), F.col("__rough"))).drop("__open", "__rough"))
+
+
+def group_filter(df: DataFrame, keys: Sequence[str], having: Column) -> DataFrame:
+    """Keep the rows of groups that pass a test on aggregates; the test is pre-aggregated, the rows are not regrouped."""
+    passed = df.groupBy(*keys).agg(having.alias("__pass")).where("__pass").select(*keys)
+    return df.join(passed, list(keys), "left_semi")
+
+
+def attach_aggregates(df: DataFrame, keys: Sequence[str], aggregates: dict[str, Column]) -> DataFrame:
+    """Aggregates of every group as columns of its rows. Keys must not be NULL."""
+    return df.join(df.groupBy(*keys).agg(*[column.alias(name) for name, column in aggregates.items()]), list(keys), "left")
