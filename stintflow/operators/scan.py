@@ -88,14 +88,23 @@ class EventLog(NamedTuple):
         return EventLog(tuple(stage(part) for part in self.parts))
 
 
-def split_large_groups(df: DataFrame, keys: Sequence[str], chunk: Column,
-                       max_rows: int = MAX_GROUP_ROWS) -> EventLog:
+def beside(side: DataFrame, events: DataFrame, key: str) -> DataFrame:
+    """Partition a per-group table like its events, so a join on finer keys shuffles the small side only.
+
+    Not done for split groups: there one key can hold most rows, and the join is left to the skew handling of the engine.
+    """
+    return side if CHUNK in events.columns else side.repartition(key)
+
+
+def split_large_groups(df: DataFrame, keys: Sequence[str], chunk: Column, max_rows: int = MAX_GROUP_ROWS,
+                       counted: DataFrame | None = None) -> EventLog:
     """Separate the groups with more than ``max_rows`` rows and cut them by ``chunk``.
 
-    ``chunk`` must never decrease along the order of later scans and must bound the rows per value. Only the key columns
-    are read to count, and at most rows / max_rows keys come out of it; whether any exist is the only thing asked here.
+    ``chunk`` must never decrease along the order of later scans and must bound the rows per value. Counting reads only
+    the key columns (of ``counted``, if the frame itself is costly to compute) and at most rows / max_rows keys come out
+    of it; whether any exist is the only thing asked here.
     """
-    large = df.groupBy(*keys).count().where(F.col("count") > max_rows).select(*keys)
+    large = (df if counted is None else counted).groupBy(*keys).count().where(F.col("count") > max_rows).select(*keys)
     if large.isEmpty():
         return EventLog((df,))
     large = stage(large)

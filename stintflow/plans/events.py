@@ -8,6 +8,7 @@ from ..operators.scan import MAX_GROUP_ROWS, EventLog, order_chunk, row_count, r
 from ..operators.verbs import clean_names, lookup_table, pivot_first, select_any
 
 REPLAY, SCORING_TYPES = 18, (1, 2, 3)
+SALTS = 997
 
 # Fixed column names of the event feed, new name -> landed name.
 FEED_COLUMNS = {
@@ -28,11 +29,18 @@ def prepare_player_logs(raw: DataFrame) -> DataFrame:
 
 
 def attach_names(feed: DataFrame, player_logs: DataFrame) -> DataFrame:
-    """Player names and team slugs for the ids of the feed. Every lookup has one row per id."""
-    named = feed
+    """Player names and team slugs for the ids of the feed. Every lookup has one row per id.
+
+    The lookups hold one row per player or team, so they are normally broadcast (by measured size, never by hint). Where
+    they are not, most rows have no second or third player: a salt spreads those rows instead of sending all to one task.
+    """
+    named, players = feed, player_logs.select("player_id", "player_name")
+    nobody = -2 * F.pmod(F.col("number_event"), F.lit(SALTS)) - 1  # odd and negative: equals no doubled id
     for slot in (1, 2, 3):
-        names = lookup_table(player_logs, "player_id", "player_name", new_key=f"player{slot}_id", new_value=f"player{slot}")
-        named = named.join(names, f"player{slot}_id", "left")
+        key = F.col(f"player{slot}_id").cast("bigint")
+        names = lookup_table(players, "player_id", "player_name", new_key="__id", new_value=f"player{slot}")
+        named = named.withColumn("__key", F.when(key.isNull(), nobody).otherwise(key * 2)).join(
+            names.select((F.col("__id").cast("bigint") * 2).alias("__key"), f"player{slot}"), "__key", "left").drop("__key")
     for key, slug in (("team_id", "slug_team"), ("off_team_id", "off_slug_team")):
         named = named.join(lookup_table(player_logs, "team_id", "team_abbreviation", new_key=key, new_value=slug), key, "left")
     return select_any(named, FEED_COLUMNS)
@@ -69,4 +77,4 @@ def sequence_events(feed: DataFrame, player_logs: DataFrame, max_rows: int = MAX
     events = events.join(game_teams(player_logs), "game_id", "left").where(F.col("msg_type") != REPLAY)
     events = with_points(with_clock(events.withColumnRenamed("number_event", "number_original")))
     chunk = order_chunk("secs_passed_game", number="number_original", rows=max_rows)
-    return split_large_groups(events, ["game_id"], chunk, max_rows).apply(number_and_score)
+    return split_large_groups(events, ["game_id"], chunk, max_rows, counted=feed).apply(number_and_score)

@@ -4,7 +4,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions import not_in, sorted_names, type_act
-from ..operators.scan import CHUNK, fill_down, fill_up, row_count, scan
+from ..operators.scan import CHUNK, beside, fill_down, fill_up, row_count, scan
 from ..operators.verbs import pivot_first
 
 SUBSTITUTION, PERIOD_START = 8, 12
@@ -29,25 +29,27 @@ def team_locations(player_logs: DataFrame) -> DataFrame:
 
 
 def _mentions(events: DataFrame) -> DataFrame:
-    """Every player an event names; substitutions say which way, "in" before "out" inside one row."""
-    sub = F.col("msg_type") == SUBSTITUTION
-    plain = F.lit(None).cast("string")
-    named = F.array(
-        F.struct(F.col("player2").alias("player_name"), F.when(sub, "in").otherwise(plain).alias("in_out"), F.lit(1).alias("place")),
-        F.struct(F.col("player1").alias("player_name"), F.when(sub, "out").otherwise(plain).alias("in_out"), F.lit(2).alias("place")),
-        F.struct(F.col("player3").alias("player_name"), plain.alias("in_out"), F.lit(3).alias("place")))
-    return events.select("game_id", "period", "number_event", F.inline(named))
+    """Every player an event names. For substitutions ``moved`` orders the moves: twice the event number, plus one for out.
+
+    One number holds order and direction (inside one row "in" comes before "out"), so the first move is a plain minimum.
+    """
+    move = F.when(F.col("msg_type") == SUBSTITUTION, F.col("number_event").cast("bigint") * 2)
+    named = F.array(F.struct(F.col("player2").alias("player_name"), move.alias("moved")),
+                    F.struct(F.col("player1").alias("player_name"), (move + 1).alias("moved")),
+                    F.struct(F.col("player3").alias("player_name"), F.lit(None).cast("bigint").alias("moved")))
+    return events.select("game_id", "period", F.inline(named))
 
 
 def _first_direction(mentions: DataFrame) -> DataFrame:
     """Per player and period the direction of the first substitution, NULL if only other events name the player."""
-    position = F.when(F.col("in_out").isNotNull(), F.struct("number_event", "place"))
-    return mentions.groupBy("game_id", "period", "player_name").agg(F.min_by("in_out", position).alias("in_out"))
+    first = mentions.groupBy("game_id", "period", "player_name").agg(F.min("moved").alias("moved"))
+    return first.select("game_id", "period", "player_name",
+                        F.when(F.col("moved") % 2 == 0, "in").when(F.col("moved") % 2 == 1, "out").alias("in_out"))
 
 
 def players_subbed(events: DataFrame, player_logs: DataFrame) -> DataFrame:
     """First substitution of every player in every period; the player started it if that was going out."""
-    mentions = _mentions(events.where(F.col("msg_type") == SUBSTITUTION)).where(F.col("in_out").isNotNull())
+    mentions = _mentions(events.where(F.col("msg_type") == SUBSTITUTION)).where(F.col("moved").isNotNull())
     ids = roster(player_logs).groupBy("game_id", "player_name").agg(F.min("player_id").alias("player_id"))
     return (_first_direction(mentions)
             .withColumn("starter", F.when(F.col("in_out") == "out", 1).otherwise(0))
@@ -162,13 +164,13 @@ def lineups_on_events(events: DataFrame, starts: DataFrame, changes: DataFrame |
     the next one.
     """
     changes = lineup_changes(events, starts) if changes is None else changes
-    sides = ["home", "away"]
+    sides, key = ["home", "away"], ["game_id", "period", "number_event", "slug_team"]
     start_wide = pivot_first(starts, ["game_id", "period"], "team_location", ["lineup_start"], sides, ["slug_team"]
                              ).withColumn("msg_type", F.lit(PERIOD_START))
-    change_wide = pivot_first(changes, ["game_id", "period", "number_event", "slug_team"], "team_location",
-                              ["lineup_before", "lineup_after"], sides, ["number_event"])
-    marked = (events.join(start_wide, ["game_id", "period", "msg_type"], "left")
-              .join(change_wide, ["game_id", "period", "number_event", "slug_team"], "left"))
+    changes = changes.withColumn("number_event", F.col("number_event").cast(events.schema["number_event"].dataType))
+    change_wide = pivot_first(changes, key, "team_location", ["lineup_before", "lineup_after"], sides, ["number_event"])
+    marked = (events.join(beside(start_wide, events, "game_id"), ["game_id", "period", "msg_type"], "left")
+              .join(beside(change_wide, events, "game_id"), key, "left"))
     steps = {}
     for side in sides:
         steps[f"__down_{side}"] = fill_down(F.coalesce(f"lineup_start_{side}", f"lineup_after_{side}"))

@@ -5,7 +5,7 @@ from typing import NamedTuple
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..operators.scan import MAX_GROUP_ROWS, EventLog
+from ..operators.scan import CHUNK, MAX_GROUP_ROWS, EventLog, beside
 from ..sources.shared import stage
 from . import events as ev, fouls, garbage, lineups, possessions, stats
 
@@ -31,35 +31,46 @@ def game_calendar(player_logs: DataFrame) -> DataFrame:
         F.min(F.col("game_date").cast("date")).alias("game_date"), F.min("season_id").alias("season"))
 
 
-def with_lineups(log: EventLog, tables: LandedTables) -> tuple[EventLog, DataFrame]:
-    """Line-ups on every event, and the starting line-ups they were derived from."""
+def starting_lineups(log: EventLog, tables: LandedTables) -> DataFrame:
     starters = lineups.all_starters(log.frame(), tables.player_logs, tables.period_box)
-    starts = stage(lineups.starting_lineups(starters, tables.player_logs))
-    return log.apply(lineups.lineups_on_events, starts), starts
+    return stage(lineups.starting_lineups(starters, tables.player_logs))
+
+
+def with_lineups(log: EventLog, tables: LandedTables) -> EventLog:
+    """Line-ups on every event, without the later steps."""
+    return log.apply(lineups.lineups_on_events, starting_lineups(log, tables))
 
 
 def _enrich(part: DataFrame, starts: DataFrame, calendar: DataFrame) -> DataFrame:
-    out = fouls.with_points_and_possessions(possessions.possessions(part)).join(calendar, "game_id", "left")
-    return garbage.with_off_def_lineups(garbage.with_garbage_time(out, starts))
+    """One shuffle of the events, on the game: every scan and join below works inside a game.
+
+    Line-ups come after the possession steps because those only need scans; a synthetic last event takes the line-ups of
+    the rows around it.
+    """
+    by_game = part.repartition("game_id", *[c for c in part.columns if c == CHUNK])
+    out = fouls.with_points_and_possessions(possessions.possessions(by_game))
+    out = lineups.lineups_on_events(out, starts, lineups.lineup_changes(part, starts))
+    out = out.join(beside(calendar, part, "game_id"), "game_id", "left")
+    return stats.with_stints(garbage.with_off_def_lineups(garbage.with_garbage_time(out, starts)))
 
 
 def enriched_events(tables: LandedTables, max_rows: int = MAX_GROUP_ROWS) -> EventLog:
-    """Feed -> events with line-ups, possessions, points, garbage time and roles."""
+    """Feed -> events with line-ups, possessions, points, garbage time, roles and stints."""
     log = ev.sequence_events(tables.feed, tables.player_logs, max_rows).stage()
-    log, starts = with_lineups(log, tables)
-    return log.apply(_enrich, starts, game_calendar(tables.player_logs))
+    return log.apply(_enrich, starting_lineups(log, tables), game_calendar(tables.player_logs))
 
 
-def existing_stats(log: EventLog, tables: LandedTables) -> DataFrame:
-    per_part = log.apply(stats.lineup_stats_existing).frame()
-    return per_part.join(game_calendar(tables.player_logs).select("game_id", "season"), "game_id", "left")
+def existing_stats(log: EventLog) -> DataFrame:
+    """Stint sums of all parts; a game is in one part only, so parts never share a key."""
+    return log.apply(stats.lineup_stats_existing).frame()
 
 
 def build_season(tables: LandedTables, max_rows: int = MAX_GROUP_ROWS) -> SeasonTables:
     """All tables of a build. Two things are staged because several outputs read them: events and stint sums."""
     log = enriched_events(tables, max_rows).stage()
-    existing = stage(existing_stats(log, tables))
+    existing = stage(existing_stats(log))
     index = stage(stats.lineup_index(existing))
     active = stats.lineup_stats(existing, max_rows).join(index, ["season", "lineup"], "left")
     members = stats.lineup_members(existing, tables.player_logs, index)
-    return SeasonTables(stats.attach_lineup_ids(log.frame(), members), index, active, existing)
+    play_by_play = log.apply(stats.attach_lineup_ids, members).frame().drop("stint_home", "stint_away")
+    return SeasonTables(play_by_play, index, active, existing)

@@ -4,7 +4,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions import split_names, sum_na
-from ..operators.scan import (CHUNK, MAX_GROUP_ROWS, fill_down, fill_up, number_rows, order_chunk, row_count,
+from ..operators.scan import (MAX_GROUP_ROWS, beside, fill_down, fill_up, number_rows, order_chunk, row_count,
                               running_sum, scan, split_large_groups)
 from .lineups import LINEUP_SIZE, SUBSTITUTION, roster
 from .possessions import BY_EVENT
@@ -36,14 +36,14 @@ def perspective(events: DataFrame) -> DataFrame:
             F.col(f"poss_{own}").alias("poss_team"), F.col(f"poss_{other}").alias("poss_opp"),
             F.col(f"team_{own}").alias("slug_team"), F.col(f"team_{other}").alias("slug_opp"),
             F.col(f"stint_{own}").alias("stint"))
-    return events.select("game_id", "game_date", "period", "number_event", "msg_type", "description", "secs_played",
+    return events.select("season", "game_id", "game_date", "period", "number_event", "msg_type", "description", "secs_played",
                          "garbage_time", F.inline(F.array(side("home", "away"), side("away", "home")))
                          ).where(F.col("lineup").isNotNull())
 
 
 def lineup_stats_existing(events: DataFrame) -> DataFrame:
-    """Points, possessions and seconds per team, stint, line-up and garbage-time flag."""
-    return perspective(with_stints(events)).groupBy(*STINT_KEYS).agg(*[sum_na(F.col(c)).alias(c) for c in STINT_SUMS])
+    """Points, possessions and seconds per team, stint, line-up and garbage-time flag of events that carry their stints."""
+    return perspective(events).groupBy("season", *STINT_KEYS).agg(*[sum_na(F.col(c)).alias(c) for c in STINT_SUMS])
 
 
 def lineup_stats(existing: DataFrame, max_rows: int = MAX_GROUP_ROWS) -> DataFrame:
@@ -86,10 +86,10 @@ def lineup_members(existing: DataFrame, player_logs: DataFrame, index: DataFrame
 
 def attach_lineup_ids(events: DataFrame, members: DataFrame) -> DataFrame:
     """``off_`` and ``def_`` line-up ids and player ids on every event."""
-    out = events
+    out = beside(events, events, "game_id")
     for role in ("off", "def"):
         ids = {c: f"{role}_{c}" for c in members.columns if c.endswith("_id") and c != "game_id"}
         side = members.select("season", "game_id", F.col("slug_team").alias(f"{role}_slug_team"),
                               F.col("lineup").alias(f"{role}_lineup"), *[F.col(c).alias(n) for c, n in ids.items()])
-        out = out.join(side, ["season", "game_id", f"{role}_slug_team", f"{role}_lineup"], "left")
+        out = out.join(beside(side, events, "game_id"), ["season", "game_id", f"{role}_slug_team", f"{role}_lineup"], "left")
     return out

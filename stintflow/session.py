@@ -3,14 +3,22 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
-SETTINGS = {
+# Settings a running session may still take.
+RUNTIME = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Lookups are broadcast only after their size was measured.
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
     # Events stay partitioned by game while they meet per-game tables on finer keys.
     "spark.sql.requireAllClusterKeysForCoPartition": "false",
-    "spark.sql.codegen.cache.maxEntries": "2000",
 }
+SETTINGS = {**RUNTIME, "spark.sql.codegen.cache.maxEntries": "2000"}
+
+
+def tune(spark: SparkSession) -> None:
+    for key, value in RUNTIME.items():
+        spark.conf.set(key, value)
 
 
 def local_session(name: str, cores: str = "8", partitions: int = 8, **settings: str) -> SparkSession:

@@ -13,6 +13,7 @@ from .operators import verbs
 from .operators.scan import (EventLog, fill_down, fill_up, following, previous, row_count, running_sum, scan)
 from .plans import events, fouls, garbage, lineups, possessions, schedule, season, stats
 from .sources import compact, files, publish
+from .session import tune
 from .sources.shared import new_path, stage
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -26,6 +27,7 @@ def query(fn: Query) -> Query:
 
 
 def event_log(spark: SparkSession, sf_dir: str) -> EventLog:
+    tune(spark)
     return events.sequence_events(fx.feed(spark, sf_dir), fx.player_logs(spark, sf_dir))
 
 
@@ -512,7 +514,7 @@ def lineup_start(spark, sf_dir):
 
 @query
 def lineup_on_event(spark, sf_dir):
-    log, _ = season.with_lineups(event_log(spark, sf_dir).stage(), fx.landed(spark, sf_dir))
+    log = season.with_lineups(event_log(spark, sf_dir).stage(), fx.landed(spark, sf_dir))
     return log.frame().select("game_id", "number_event", "lineup_home", "lineup_away")
 
 
@@ -602,12 +604,14 @@ def pbp_points_poss(spark, sf_dir):
 
 @query
 def garbage_time(spark, sf_dir):
+    tune(spark)
     return season.enriched_events(fx.landed(spark, sf_dir)).frame().select(
         "game_id", "number_event", "total_starters_home", "total_starters_away", "margin_before", "garbage_time")
 
 
 @query
 def off_def_lineups(spark, sf_dir):
+    tune(spark)
     rows = season.enriched_events(fx.landed(spark, sf_dir)).frame()
     return rows.select("game_id", "number_event", "def_slug_team", "off_lineup", "def_lineup", *[
         c for c in rows.columns if c.startswith(("off_player", "def_player"))])
@@ -615,6 +619,7 @@ def off_def_lineups(spark, sf_dir):
 
 @query
 def lineup_player_ids(spark, sf_dir):
+    tune(spark)
     rows = season.build_season(fx.landed(spark, sf_dir)).play_by_play
     return rows.select("game_id", "number_event", *[f"{role}_player{slot}_id" for role in ("off", "def") for slot in range(1, 6)])
 
@@ -628,34 +633,39 @@ def stint_number(spark, sf_dir):
 
 @query
 def perspective(spark, sf_dir):
-    log = season.enriched_events(fx.landed(spark, sf_dir)).apply(stats.with_stints)
-    return log.apply(stats.perspective).frame().drop("description", "game_date")
+    tune(spark)
+    log = season.enriched_events(fx.landed(spark, sf_dir))
+    return log.apply(stats.perspective).frame().drop("description", "game_date", "season")
 
 
 @query
 def lineup_stats_existing(spark, sf_dir):
-    tables = fx.landed(spark, sf_dir)
-    return season.existing_stats(season.enriched_events(tables), tables)
+    tune(spark)
+    return season.existing_stats(season.enriched_events(fx.landed(spark, sf_dir)))
 
 
 @query
 def lineup_stats(spark, sf_dir):
+    tune(spark)
     return season.build_season(fx.landed(spark, sf_dir)).lineup_stats
 
 
 @query
 def lineup_index(spark, sf_dir):
+    tune(spark)
     return season.build_season(fx.landed(spark, sf_dir)).lineup_index
 
 
 @query
 def attach_lineup_ids(spark, sf_dir):
+    tune(spark)
     return season.build_season(fx.landed(spark, sf_dir)).play_by_play.select(
         "game_id", "number_event", "off_lineup", "def_lineup", "off_lineup_id", "def_lineup_id", "season")
 
 
 @query
 def season_outputs(spark, sf_dir):
+    tune(spark)
     built = season.build_season(fx.landed(spark, sf_dir))
     names = ("play_by_play", "lineup_index", "lineup_stats")
     outputs = publish.write_season_outputs({name: getattr(built, name) for name in names}, new_path(spark, "outputs"), updated_at=STAMPED_AT)
