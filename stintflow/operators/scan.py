@@ -9,6 +9,7 @@ same pieces.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import cached_property
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -117,59 +118,57 @@ def order_chunk(*coarse: str, number: str, rows: int = MAX_GROUP_ROWS) -> Column
     return F.struct(*coarse, F.floor(F.col(number) / rows).alias("block"))
 
 
-def _window_value(step: Step, keys: list, order: list) -> Column:
-    forward = Window.partitionBy(*keys).orderBy(*order)
-    # A frame that ends at the last row is quadratic in Spark, so it is read as a running frame in reverse order.
-    backward = Window.partitionBy(*keys).orderBy(*[F.col(o).desc() for o in order])
-    running = (Window.unboundedPreceding, Window.currentRow)
-    whole = Window.partitionBy(*keys)
-    return {
-        "running_sum": lambda: F.sum(step.value).over(forward.rowsBetween(*running)),
-        "fill_down": lambda: F.last(step.value, ignorenulls=True).over(forward.rowsBetween(*running)),
-        "fill_up": lambda: F.last(step.value, ignorenulls=True).over(backward.rowsBetween(*running)),
-        "previous": lambda: F.lag(step.value).over(forward),
-        "following": lambda: F.lead(step.value).over(forward),
-        "group_sum": lambda: F.sum(step.value).over(whole),
-        "group_max": lambda: F.max(step.value).over(whole),
-        "group_min": lambda: F.min(step.value).over(whole),
-        "group_last": lambda: F.last(step.value, ignorenulls=True).over(
-            forward.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)),
-    }[step.kind]()
+class _Windows:
+    """The window specifications of one scan, made once and only if a step needs them."""
+
+    def __init__(self, keys: list, order: list, before: int = Window.currentRow):
+        self.keys, self.order, self.span = keys, order, (Window.unboundedPreceding, before)
+
+    @cached_property
+    def whole(self):
+        return Window.partitionBy(*self.keys)
+
+    @cached_property
+    def forward(self):
+        return self.whole.orderBy(*self.order)
+
+    @cached_property
+    def running(self):
+        return self.forward.rowsBetween(*self.span)
+
+    @cached_property
+    def backward(self):
+        # A frame that ends at the last row is quadratic in Spark, so it is read as a running frame in reverse order.
+        return self.whole.orderBy(*[F.col(o).desc() for o in self.order]).rowsBetween(*self.span)
+
+    def value(self, kind: str, value: Column) -> Column:
+        if kind == "running_sum":
+            return F.sum(value).over(self.running)
+        if kind == "fill_down":
+            return F.last(value, ignorenulls=True).over(self.running)
+        if kind == "fill_up":
+            return F.last(value, ignorenulls=True).over(self.backward)
+        if kind == "previous":
+            return F.lag(value).over(self.forward)
+        if kind == "following":
+            return F.lead(value).over(self.forward)
+        if kind == "group_last":
+            return F.last(value, ignorenulls=True).over(
+                self.forward.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+        aggregate = {"group_sum": F.sum, "group_max": F.max, "group_min": F.min}[kind]
+        return aggregate(value).over(self.whole)
 
 
 def _summary(step: Step, order: list) -> Column:
+    """One value per chunk."""
     position = F.struct(*order)
-    known = F.when(step.value.isNotNull(), position)
-    return {
-        "running_sum": lambda: F.sum(step.value),
-        "fill_down": lambda: F.max_by(step.value, known),
-        "fill_up": lambda: F.min_by(step.value, known),
-        "previous": lambda: F.max_by(F.struct(step.value.alias("v")), position),
-        "following": lambda: F.min_by(F.struct(step.value.alias("v")), position),
-        "group_sum": lambda: F.sum(step.value),
-        "group_max": lambda: F.max(step.value),
-        "group_min": lambda: F.min(step.value),
-        "group_last": lambda: F.max_by(step.value, known),
-    }[step.kind]()
-
-
-def _carried(step: Step, summary: str, keys: list) -> Column:
-    forward = Window.partitionBy(*keys).orderBy(CHUNK)
-    backward = Window.partitionBy(*keys).orderBy(F.col(CHUNK).desc())
-    before = (Window.unboundedPreceding, -1)
-    whole = Window.partitionBy(*keys)
-    return {
-        "running_sum": lambda: F.sum(summary).over(forward.rowsBetween(*before)),
-        "fill_down": lambda: F.last(summary, ignorenulls=True).over(forward.rowsBetween(*before)),
-        "fill_up": lambda: F.last(summary, ignorenulls=True).over(backward.rowsBetween(*before)),
-        "previous": lambda: F.lag(summary).over(forward),
-        "following": lambda: F.lead(summary).over(forward),
-        "group_sum": lambda: F.sum(summary).over(whole),
-        "group_max": lambda: F.max(summary).over(whole),
-        "group_min": lambda: F.min(summary).over(whole),
-        "group_last": lambda: F.last(summary, ignorenulls=True).over(
-            forward.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)),
-    }[step.kind]()
+    if step.kind in ("previous", "following"):
+        pick = F.max_by if step.kind == "previous" else F.min_by
+        return pick(F.struct(step.value.alias("v")), position)
+    if step.kind in ("fill_down", "fill_up", "group_last"):
+        pick = F.min_by if step.kind == "fill_up" else F.max_by
+        return pick(step.value, F.when(step.value.isNotNull(), position))
+    return {"group_max": F.max, "group_min": F.min}.get(step.kind, F.sum)(step.value)
 
 
 def _combined(step: Step, local: Column, carry: Column) -> Column:
@@ -186,18 +185,20 @@ def scan(df: DataFrame, group: Sequence[str], order: Sequence[str], steps: dict[
     """Add one column per step, computed in ``order`` inside every group."""
     group, order = list(group), list(order)
     if CHUNK not in df.columns:
-        return df.withColumns({name: _window_value(step, group, order) for name, step in steps.items()})
+        windows = _Windows(group, order)
+        return df.withColumns({name: windows.value(step.kind, step.value) for name, step in steps.items()})
 
     df = stage(df)  # read twice below: a written table keeps the plan linear over a chain of scans
     keys = group + [CHUNK]
     wrapped = {name: Step(step.kind, F.struct(step.value.alias("v"))) if step.kind in ("previous", "following") else step
                for name, step in steps.items()}
-    local = df.withColumns({f"__local_{name}": _window_value(step, keys, order) for name, step in wrapped.items()
+    windows, carries = _Windows(keys, order), _Windows(group, [CHUNK], before=-1)
+    local = df.withColumns({f"__local_{name}": windows.value(step.kind, step.value) for name, step in wrapped.items()
                             if not step.kind.startswith("group_")})
     summary = df.groupBy(*keys).agg(*[_summary(step, order).alias(f"__part_{name}") for name, step in steps.items()])
     carry = summary.select(
         *[F.col(key).alias(f"__key_{key}") for key in keys],
-        *[_carried(step, f"__part_{name}", group).alias(f"__carry_{name}") for name, step in steps.items()])
+        *[carries.value(step.kind, F.col(f"__part_{name}")).alias(f"__carry_{name}") for name, step in steps.items()])
     same = F.lit(True)
     for key in keys:
         same = same & F.col(key).eqNullSafe(F.col(f"__key_{key}"))
