@@ -15,6 +15,7 @@ LAST_OF_TRIP, FREE_FLAGRANT_OR_CLEAR = (12, 15), (18, 19, 20, 25, 26, 27, 28, 29
 NOT_LAST_POSSESSION = (16,) + FREE_FLAGRANT_OR_CLEAR
 KEEPS_BALL = (19, 20, 26, 29)
 PERIOD_END, SYNTHETIC = 13, 99
+LAST_POSSESSION_TEXT = "Last possession of quarter"  # fixed text of the synthetic event
 SECOND = ["game_id", "secs_passed_game"]
 PERIOD = ["game_id", "period"]
 BY_EVENT = ["number_event"]
@@ -138,7 +139,7 @@ def with_last_possessions(events: DataFrame) -> DataFrame:
         "act_type": F.when(new, 0).otherwise(F.col("act_type")),
         "possession": F.when(new, 1).otherwise(F.col("possession")),
         "start_poss": F.when(new, F.col("open_possession.clock")).otherwise(F.col("start_poss")),
-        "description": F.when(new, "Last possession of quarter").otherwise(F.col("description")),
+        "description": F.when(new, LAST_POSSESSION_TEXT).otherwise(F.col("description")),
         "off_slug_team": F.when(new, F.col("open_possession.team")).otherwise(F.col("off_slug_team")),
         "slug_team": F.when(new, F.col("open_possession.team")).otherwise(F.col("slug_team")),
     }

@@ -45,17 +45,23 @@ def pluck(docs: DataFrame, frame: str, *keep: str) -> DataFrame:
     return docs.select(*keep, F.inline(F.col(frame)))
 
 
+def _by_partition(df: DataFrame, partition: Sequence[str]) -> DataFrame:
+    """Collect the rows of a partition into few files; a large partition is spread over several tasks by its size."""
+    return df.hint("rebalance", *partition) if partition else df
+
+
 def write_csv(df: DataFrame, path: str, *partition: str) -> None:
-    df.write.mode("overwrite").option("header", True).partitionBy(*partition).csv(path)
+    _by_partition(df, partition).write.mode("overwrite").option("header", True).partitionBy(*partition).csv(path)
 
 
 def write_json(df: DataFrame, path: str, *partition: str) -> None:
-    df.write.mode("overwrite").option("ignoreNullFields", False).partitionBy(*partition).json(path)
+    _by_partition(df, partition).write.mode("overwrite").option("ignoreNullFields", False).partitionBy(*partition).json(path)
 
 
 def write_parquet(df: DataFrame, path: str, *partition: str) -> None:
     """Season partitions are replaced one by one, so a rebuilt season leaves the others alone."""
-    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition).parquet(path)
+    _by_partition(df, partition).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
+        *partition).parquet(path)
 
 
 WRITERS = {"csv": write_csv, "json": write_json, "parquet": write_parquet}

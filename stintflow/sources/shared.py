@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 def shared_folder(spark: SparkSession) -> str:
     """Folder every executor can reach: ``spark.checkpoint.dir``; a temporary one only for an unconfigured local run."""
     context = spark.sparkContext
-    folder = context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if folder:
         return folder
     if not context.master.startswith("local"):
@@ -20,8 +20,18 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+def session_folder(spark: SparkSession) -> str:
+    return f"{shared_folder(spark)}/{spark.sparkContext.applicationId}"
+
+
 def new_path(spark: SparkSession, label: str) -> str:
-    return f"{shared_folder(spark)}/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
+    return f"{session_folder(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def clear_stages(spark: SparkSession) -> None:
+    """Delete everything this application staged. Call it once the results are written; frames built on it end with it."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(session_folder(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def stage(df: DataFrame) -> DataFrame:
