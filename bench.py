@@ -21,7 +21,7 @@ def seconds(spark, key: str, sf_dir: str) -> float:
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cores = os.environ.get("BENCH_CPUS", "8")
-    runs = int(os.environ.get("BENCH_RUNS", "2"))
+    runs = int(os.environ.get("BENCH_RUNS", "1"))
     spark = local_session("bench", cores=cores, partitions=int(cores))
     timings = {}
     for key in HEADLINE:

@@ -129,12 +129,12 @@ def lineup_changes(events: DataFrame, starts: DataFrame) -> DataFrame:
         subs = scan(subs, PERIOD_TEAM, ["number_event"], {"fold": row_count()}).drop(CHUNK)
         subs = subs.withColumn("fold", F.floor((F.col("fold") - 1) / FOLD_ROWS))
         keys, first = PERIOD_TEAM + ["fold"], _lineups_at_fold_starts(subs, starts)
-        known = starts.select(*PERIOD_TEAM, F.lit(True).alias("known"))
+        known = starts.select(*PERIOD_TEAM, "team_location", F.lit(True).alias("known"))
         grouped = _collect_changes(subs, keys).join(first, keys, "left").join(known, PERIOD_TEAM, "left")
         grouped = grouped.withColumn("lineup", F.when(F.col("known"), F.coalesce("lineup", F.array().cast("array<string>"))))
     else:
         keys = PERIOD_TEAM
-        first = starts.select(*keys, F.split("lineup_start", ", ").alias("lineup"))
+        first = starts.select(*keys, "team_location", F.split("lineup_start", ", ").alias("lineup"))
         grouped = _collect_changes(subs, keys).join(first, keys, "left")
 
     def change(state, sub):
@@ -147,9 +147,7 @@ def lineup_changes(events: DataFrame, starts: DataFrame) -> DataFrame:
     empty = F.array().cast("array<struct<number_event:bigint,lineup_before:string,lineup_after:string>>")
     folded = F.aggregate("changes", F.struct(F.col("lineup").alias("lineup"), empty.alias("rows")), change,
                          lambda state: state["rows"])
-    locations = starts.select("game_id", "slug_team", "team_location").distinct()
-    return (grouped.select(*PERIOD_TEAM, F.inline(folded))
-            .join(locations, ["game_id", "slug_team"], "left"))
+    return grouped.select(*PERIOD_TEAM, "team_location", F.inline(folded))
 
 
 def _collect_changes(subs: DataFrame, keys: list[str]) -> DataFrame:
@@ -168,7 +166,9 @@ def lineups_on_events(events: DataFrame, starts: DataFrame, changes: DataFrame |
     start_wide = pivot_first(starts, ["game_id", "period"], "team_location", ["lineup_start"], sides, ["slug_team"]
                              ).withColumn("msg_type", F.lit(PERIOD_START))
     changes = changes.withColumn("number_event", F.col("number_event").cast(events.schema["number_event"].dataType))
-    change_wide = pivot_first(changes, key, "team_location", ["lineup_before", "lineup_after"], sides, ["number_event"])
+    change_wide = changes.select(*key, *[
+        F.when(F.col("team_location") == side, F.col(name)).alias(f"{name}_{side}")
+        for side in sides for name in ("lineup_before", "lineup_after")])
     marked = (events.join(beside(start_wide, events, "game_id"), ["game_id", "period", "msg_type"], "left")
               .join(beside(change_wide, events, "game_id"), key, "left"))
     steps = {}
