@@ -2,7 +2,9 @@
 import pytest
 
 import check
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from oracles.statements import STATEMENTS
+from stintflow.workload import QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -11,10 +13,10 @@ def tables(small):
 
 
 def test_every_query_has_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(STATEMENTS)
 
 
-@pytest.mark.parametrize("key", sorted(queries()))
+@pytest.mark.parametrize("key", sorted(QUERIES))
 def test_matches_sql(spark, small, tables, key):
     assert check.compare(spark, tables, small, key).startswith("ok")
 
