@@ -5,7 +5,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import leaks, quality
+from . import leaks, minmax, quality
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -29,3 +29,8 @@ def op3_decontamination(spark, sf_dir):
 @query
 def op7_repetition(spark, sf_dir):
     return quality.repetition(table(spark, sf_dir, "documents"))
+
+
+@query
+def op8_minmax_dedup(spark, sf_dir):
+    return minmax.near_duplicates(table(spark, sf_dir, "documents"), words=4)
