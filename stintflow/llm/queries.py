@@ -5,7 +5,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import leaks, minmax, quality
+from . import leaks, minmax, packing, quality
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -34,3 +34,8 @@ def op7_repetition(spark, sf_dir):
 @query
 def op8_minmax_dedup(spark, sf_dir):
     return minmax.near_duplicates(table(spark, sf_dir, "documents"), words=4)
+
+
+@query
+def op9_packing(spark, sf_dir):
+    return packing.packed(table(spark, sf_dir, "documents"))
