@@ -5,7 +5,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import leaks, minmax, packing, quality
+from . import leaks, lengths, minmax, packing, quality
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -26,6 +26,11 @@ def op3_decontamination(spark, sf_dir):
     return leaks.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+@query
+def op6_length_histogram(spark, sf_dir):
+    return lengths.suffix_sums(lengths.histogram(lengths.encoded_lengths(table(spark, sf_dir, "documents"))))
+
+
 @query
 def op7_repetition(spark, sf_dir):
     return quality.repetition(table(spark, sf_dir, "documents"))
