@@ -5,7 +5,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import leaks, lengths, minmax, packing, quality
+from . import leaks, lengths, minmax, packing, private, quality
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -44,3 +44,8 @@ def op8_minmax_dedup(spark, sf_dir):
 @query
 def op9_packing(spark, sf_dir):
     return packing.packed(table(spark, sf_dir, "documents"))
+
+
+@query
+def op10_private(spark, sf_dir):
+    return private.report(table(spark, sf_dir, "documents"))
