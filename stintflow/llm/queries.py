@@ -5,7 +5,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import leaks, lengths, minmax, packing, private, quality
+from . import leaks, lengths, licences, minmax, packing, private, quality
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -26,6 +26,15 @@ def op3_decontamination(spark, sf_dir):
     return leaks.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+@query
+def op5_licences(spark, sf_dir):
+    documents = table(spark, sf_dir, "documents")
+    return licences.scan(documents, licences.known(spark))
+
+
+STATEMENTS["op5_licences"] = licences.statement()
+
+
 @query
 def op6_length_histogram(spark, sf_dir):
     return lengths.suffix_sums(lengths.histogram(lengths.encoded_lengths(table(spark, sf_dir, "documents"))))
