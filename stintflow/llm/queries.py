@@ -5,7 +5,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import leaks, lengths, licences, minmax, packing, private, quality
+from . import language, leaks, lengths, licences, minmax, packing, private, quality
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -26,6 +26,12 @@ def op3_decontamination(spark, sf_dir):
     return leaks.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+@query
+def op4_language(spark, sf_dir):
+    documents = table(spark, sf_dir, "documents")
+    return language.identify(documents, language.learn(documents))
+
+
 @query
 def op5_licences(spark, sf_dir):
     documents = table(spark, sf_dir, "documents")
