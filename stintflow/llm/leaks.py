@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..sources.shared import stage
 from . import flat
+from .ship import ship, unpack
 
 WINDOW_WORDS, BLOCK_WORDS, STRIPE_WORDS = 10, 3, 256
 # Benchmark text that is searched for in one pass; a larger benchmark is dealt with in several passes over the documents.
@@ -133,12 +134,13 @@ def occurrences(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     extra = "leak_words long, leak_hits array<int>, leak_items array<string>"
     out = docs.selectExpr("*", *(f"CAST(NULL AS {part.split()[1]}) AS {part.split()[0]}" for part in extra.split(", ")))
 
-    def passed(patterns):
+    def passed(shipped):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            patterns = unpack(shipped) if shipped is not None else []
             for batch in batches:
                 if not batch.num_rows:
                     continue
-                n, hits, items = search(batch.column("text"), patterns.value if patterns is not None else [])
+                n, hits, items = search(batch.column("text"), patterns)
                 old_hits, old_items = batch.column("leak_hits").to_pylist(), batch.column("leak_items").to_pylist()
                 hits = [sorted({*h, *(o or [])}) for h, o in zip(hits, old_hits)]
                 items = [sorted({*i, *(o or [])}) for i, o in zip(items, old_items)]
@@ -148,7 +150,7 @@ def occurrences(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
     done = 0
     for patterns in benchmark_passes(spark, benchmark):
-        out = (stage(out) if done else out).mapInArrow(passed(spark.sparkContext.broadcast(patterns)), out.schema)
+        out = (stage(out) if done else out).mapInArrow(passed(ship(spark.sparkContext, patterns)), out.schema)
         done += 1
     return out if done else out.mapInArrow(passed(None), out.schema)
 
@@ -166,14 +168,15 @@ def keep_clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows without any occurrence, with all their columns."""
     spark, out, done = docs.sparkSession, docs, 0
 
-    def passed(patterns):
+    def passed(shipped):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            patterns = unpack(shipped)
             for batch in batches:
                 if batch.num_rows:
-                    yield batch.filter(pa.array([not i for i in search(batch.column("text"), patterns.value)[2]]))
+                    yield batch.filter(pa.array([not i for i in search(batch.column("text"), patterns)[2]]))
         return run
 
     for patterns in benchmark_passes(spark, benchmark):
-        out = (stage(out) if done else out).mapInArrow(passed(spark.sparkContext.broadcast(patterns)), docs.schema)
+        out = (stage(out) if done else out).mapInArrow(passed(ship(spark.sparkContext, patterns)), docs.schema)
         done += 1
     return out
