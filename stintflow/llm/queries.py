@@ -5,7 +5,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import language, leaks, lengths, licences, minmax, packing, pages, private, quality
+from . import language, leaks, lengths, licences, minmax, packing, pages, private, quality, repeats
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -21,6 +21,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op1_repeats(spark, sf_dir):
+    return repeats.report(table(spark, sf_dir, "documents"))
+
+
 @query
 def op2_main_text(spark, sf_dir):
     return pages.extract(table(spark, sf_dir, "pages"))
