@@ -5,6 +5,7 @@ import statistics
 import time
 
 from stintflow.session import local_session
+from stintflow.sources.shared import staging
 from stintflow.workload import QUERIES
 
 HEADLINE = ("running_score", "lineup_fold", "lineup_on_event", "possessions_corrected", "possession_start", "foul_stats",
@@ -14,8 +15,9 @@ HEADLINE = ("running_score", "lineup_fold", "lineup_on_event", "possessions_corr
 
 def seconds(spark, key: str, sf_dir: str) -> float:
     start = time.perf_counter()
-    QUERIES[key](spark, sf_dir).write.format("noop").mode("overwrite").save()
-    return time.perf_counter() - start
+    with staging(spark):
+        QUERIES[key](spark, sf_dir).write.format("noop").mode("overwrite").save()
+        return time.perf_counter() - start
 
 
 def main() -> None:

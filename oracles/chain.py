@@ -203,9 +203,9 @@ STEPS = [*FEED, PLAYER_LOGS, PERIOD_BOX,
   CAST(CASE WHEN count(*) = count(pts_opp) THEN sum(pts_opp) END AS BIGINT) AS pts_opp,
   CAST(sum(poss_team) AS BIGINT) AS poss_team, CAST(sum(poss_opp) AS BIGINT) AS poss_opp, sum(secs_played) AS secs_played
   FROM persp GROUP BY game_id, game_date, period, stint, slug_team, slug_opp, lineup, garbage_time"""),
-("idx", """SELECT 2024 AS season, lineup, row_number() OVER (ORDER BY g, d, p, s, t, o, gb, lineup) AS lineup_id FROM (
-  SELECT lineup, (f).g AS g, (f).d AS d, (f).p AS p, (f).s AS s, (f).t AS t, (f).o AS o, (f).gb AS gb FROM (
-    SELECT lineup, min({'g': game_id, 'd': game_date, 'p': period, 's': stint, 't': slug_team, 'o': slug_opp, 'gb': garbage_time}) AS f
+("idx", """SELECT 2024 AS season, lineup, row_number() OVER (ORDER BY g, d, p, s, t, o, lineup) AS lineup_id FROM (
+  SELECT lineup, (f).g AS g, (f).d AS d, (f).p AS p, (f).s AS s, (f).t AS t, (f).o AS o FROM (
+    SELECT lineup, min({'g': game_id, 'd': game_date, 'p': period, 's': stint, 't': slug_team, 'o': slug_opp}) AS f
     FROM existing GROUP BY lineup))"""),
 ("stats", """SELECT e.* REPLACE (row_number() OVER (PARTITION BY game_id, slug_team ORDER BY game_date, period, stint, slug_opp, lineup, garbage_time) AS stint)
   FROM existing e WHERE secs_played + poss_opp + poss_team + pts_opp + pts_team > 0"""),
@@ -223,6 +223,11 @@ STEPS = [*FEED, PLAYER_LOGS, PERIOD_BOX,
 ("with_ids", """SELECT o.*, w.* EXCLUDE (game_id, number_event), io.lineup_id AS off_lineup_id, id_.lineup_id AS def_lineup_id FROM od o
   LEFT JOIN wide_ids w ON w.game_id = o.game_id AND w.number_event = o.number_event
   LEFT JOIN idx io ON io.lineup = o.off_lineup LEFT JOIN idx id_ ON id_.lineup = o.def_lineup"""),
+("all_slots", """SELECT game_id, number_event, role, team, unnest(string_split(names, ', ')) AS name, unnest(range(1, len(string_split(names, ', ')) + 1)) AS slot FROM (
+  SELECT game_id, number_event, 'off' AS role, off_slug_team AS team, off_lineup AS names FROM od WHERE off_lineup IS NOT NULL
+  UNION ALL SELECT game_id, number_event, 'def', def_slug_team, def_lineup FROM od WHERE def_lineup IS NOT NULL)"""),
+("all_ids", """SELECT s.game_id, s.number_event, s.role, string_agg(coalesce(CAST(r.player_id AS VARCHAR), '?'), ',' ORDER BY s.slot) AS ids, count(*) AS n
+  FROM all_slots s LEFT JOIN roster r ON r.game_id = s.game_id AND r.slug_team = s.team AND r.player_name = s.name GROUP BY ALL"""),
 ]
 
 

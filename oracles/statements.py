@@ -21,7 +21,8 @@ _REGISTRY = list(zip(
      for table, text in (("schedules", "schedules"), ("team_box", "team box scores"), ("player_box", "player box scores"), ("pbp", "play-by-play"))],
     ("orders", "lineitem", "customer", "events", "part", "supplier", "documents", "labels", "pages", "conversations", "embeddings", "benchmark")))
 
-_OUTPUTS = (("play_by_play", "with_ids", "play by play"), ("lineup_index", "idx", "lineup index"), ("lineup_stats", "stats_ids", "lineup stats"))
+_OUTPUTS = (("play_by_play", "with_ids", "play by play", "3 * number_event + msg_type"), ("lineup_index", "idx", "lineup index", "lineup_id"),
+            ("lineup_stats", "stats_ids", "lineup stats", "7 * pts_team + stint"))
 
 STATEMENTS = {
 # sources and sinks
@@ -43,6 +44,11 @@ STATEMENTS = {
 # projections, filters, predicates
 "filter_events": over("ev", """SELECT game_id, number_event, msg_type, off_slug_team FROM ev
   WHERE msg_type IN (1, 2, 3, 12) AND (off_slug_team IS NULL OR off_slug_team <> 'HOM')"""),
+"group_filter_null": """SELECT *, count(*) OVER w AS n_lines, min(l_quantity) OVER w AS least FROM (
+  SELECT l_orderkey, l_linenumber, CASE WHEN l_suppkey % 7 <> 0 THEN l_suppkey END AS supplier, l_quantity FROM lineitem
+  QUALIFY max(l_quantity) OVER (PARTITION BY CASE WHEN l_suppkey % 7 <> 0 THEN l_suppkey END) >= 30) WINDOW w AS (PARTITION BY supplier)""",
+"season_rebuild": """SELECT o_orderkey, o_custkey + CASE WHEN season = 1995 THEN 1 ELSE 0 END AS o_custkey, o_orderstatus, season, format
+  FROM (SELECT *, CAST(EXTRACT(YEAR FROM o_orderdate) AS INT) AS season FROM orders), (VALUES ('csv'), ('json'), ('parquet')) AS f(format)""",
 "group_filter": """SELECT l_orderkey, l_partkey, l_suppkey, l_quantity, l_returnflag FROM lineitem WHERE l_orderkey IN (
   SELECT l_orderkey FROM lineitem GROUP BY 1 HAVING count(*) FILTER (WHERE l_returnflag = 'R') > 0 AND max(l_quantity) >= 45)""",
 "select_rename": "SELECT c_custkey, c_name AS customer, c_nationkey AS nation_id FROM customer",
@@ -168,7 +174,10 @@ STATEMENTS = {
   margin_before, garbage_time FROM gt"""),
 "off_def_lineups": over("od", "SELECT game_id, number_event, def_slug_team, off_lineup, def_lineup, " + ", ".join(
     f"string_split({c[:3]}_lineup, ', ')[{c[-1]}] AS {c}" for c in _SLOTS) + " FROM od"),
-"lineup_player_ids": over("with_ids", f"SELECT game_id, number_event, {', '.join(c + '_id' for c in _SLOTS)} FROM with_ids"),
+"lineup_player_ids": over("all_ids", f"""SELECT w.game_id, w.number_event, {', '.join(c + '_id' for c in _SLOTS)},
+  o.ids AS off_player_ids, o.n AS off_n_players, d.ids AS def_player_ids, d.n AS def_n_players FROM with_ids w
+  LEFT JOIN all_ids o ON o.game_id = w.game_id AND o.number_event = w.number_event AND o.role = 'off'
+  LEFT JOIN all_ids d ON d.game_id = w.game_id AND d.number_event = w.number_event AND d.role = 'def'"""),
 # statistics and outputs
 "stint_number": over("ev", """SELECT game_id, number_event,
     coalesce(first_value(s_h IGNORE NULLS) OVER u, last_value(s_h IGNORE NULLS) OVER d) AS stint_home,
@@ -186,6 +195,6 @@ STATEMENTS = {
 "lineup_index": over("idx", "SELECT season, lineup, lineup_id FROM idx"),
 "attach_lineup_ids": over("with_ids", "SELECT game_id, number_event, off_lineup, def_lineup, off_lineup_id, def_lineup_id, season FROM with_ids"),
 "season_outputs": over("with_ids", " UNION ALL ".join(
-    f"SELECT '{name}' AS dataset, '{fmt}' AS format, CAST(season AS INT) AS season, 'Play-by-play {text}' AS _source, count(*) AS n_rows FROM {step} GROUP BY season"
-    for name, step, text in _OUTPUTS for fmt in ("csv", "parquet"))),
+    f"SELECT '{name}' AS dataset, '{fmt}' AS format, CAST(season AS INT) AS season, 'Play-by-play {text}' AS _source, count(*) AS n_rows, CAST(sum({value}) AS BIGINT) AS total FROM {step} GROUP BY season"
+    for name, step, text, value in _OUTPUTS for fmt in ("csv", "parquet"))),
 }

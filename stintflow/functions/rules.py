@@ -27,9 +27,10 @@ def sum_na(column: Column) -> Column:
     return F.when(F.count(F.lit(1)) == F.count(column), F.sum(column))
 
 
-def max_or_minus_inf(column: Column) -> Column:
-    """Aggregate maximum that is minus infinity when nothing is left to compare."""
-    return F.coalesce(F.max(column.cast("double")), F.lit(float("-inf")))
+def whole_number(column: Column) -> Column:
+    """Integer of a number or of its text, decimals cut off (``10.7`` -> 10, ``401.0`` -> 401); NULL if there is none or it is out of range."""
+    number = column.try_cast("double")
+    return F.when(F.abs(number) < 2147483648, number.cast("int"))
 
 
 def replace_first(column: Column, word: str, replacement: str) -> Column:
@@ -43,8 +44,8 @@ def extract_first(column: Column, pattern: str) -> Column:
 
 
 def snake_case(name: str) -> str:
-    """Column name in snake case: ``locX`` -> ``loc_x``, ``Total Price ($)`` -> ``total_price``."""
-    spaced = re.sub(r"([a-z0-9])([A-Z])", r"\1_\2", name.replace("%", " percent ").replace("#", " number "))
+    """Column name in snake case: ``locX`` -> ``loc_x``, ``Total Price ($)`` -> ``total_price``; digits stay joined (``FG3M`` -> ``fg3m``)."""
+    spaced = re.sub(r"([a-z])([A-Z])", r"\1_\2", name.replace("%", " percent ").replace("#", " number "))
     spaced = re.sub(r"([A-Z]+)([A-Z][a-z])", r"\1_\2", spaced)
     cleaned = re.sub(r"[^0-9A-Za-z]+", "_", spaced).strip("_").lower()
     return f"x{cleaned}" if cleaned[:1].isdigit() else cleaned or "x"

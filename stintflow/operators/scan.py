@@ -15,6 +15,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..sources.shared import stage
+from .verbs import join_null_safe
 
 CHUNK = "chunk"
 MAX_GROUP_ROWS = 20_000
@@ -109,13 +110,14 @@ def split_large_groups(df: DataFrame, keys: Sequence[str], chunk: Column, max_ro
     if large.isEmpty():
         return EventLog((df,))
     large = stage(large)
-    return EventLog((df.join(large, list(keys), "left_anti"),
-                     df.join(large, list(keys), "left_semi").withColumn(CHUNK, chunk)))
+    return EventLog((join_null_safe(df, large, keys, "left_anti"),
+                     join_null_safe(df, large, keys, "left_semi").withColumn(CHUNK, chunk)))
 
 
 def order_chunk(*coarse: str, number: str, rows: int = MAX_GROUP_ROWS) -> Column:
     """Chunk for the order (coarse columns, number), where ``number`` is unique inside a group."""
-    return F.struct(*coarse, F.floor(F.col(number) / rows).alias("block"))
+    return F.struct(*[column for c in coarse for column in (F.col(c).isNull().alias(f"{c}_unknown"), F.col(c).alias(c))],
+                    F.col(number).isNull().alias("unnumbered"), F.floor(F.col(number) / rows).alias("block"))
 
 
 class _Windows:
@@ -130,7 +132,7 @@ class _Windows:
 
     @cached_property
     def forward(self):
-        return self.whole.orderBy(*self.order)
+        return self.whole.orderBy(*[F.col(o).asc_nulls_last() for o in self.order])
 
     @cached_property
     def running(self):
@@ -139,7 +141,7 @@ class _Windows:
     @cached_property
     def backward(self):
         # A frame that ends at the last row is quadratic in Spark, so it is read as a running frame in reverse order.
-        return self.whole.orderBy(*[F.col(o).desc() for o in self.order]).rowsBetween(*self.span)
+        return self.whole.orderBy(*[F.col(o).desc_nulls_first() for o in self.order]).rowsBetween(*self.span)
 
     def value(self, kind: str, value: Column) -> Column:
         if kind == "running_sum":
@@ -159,9 +161,14 @@ class _Windows:
         return aggregate(value).over(self.whole)
 
 
+def nulls_last(*order: str) -> Column:
+    """Position to compare rows by, in which an unknown value comes after all others."""
+    return F.struct(*[column for o in order for column in (F.col(o).isNull().alias(f"{o}_unknown"), F.col(o).alias(o))])
+
+
 def _summary(step: Step, order: list) -> Column:
     """One value per chunk."""
-    position = F.struct(*order)
+    position = nulls_last(*order)
     if step.kind in ("previous", "following"):
         pick = F.max_by if step.kind == "previous" else F.min_by
         return pick(F.struct(step.value.alias("v")), position)

@@ -89,9 +89,18 @@ def pivot_first(df: DataFrame, keys: Sequence[str], names_from: str, values: Seq
 
 def unpivot_columns(df: DataFrame, ids: Sequence[str], columns: Sequence[str], name: str, value: str,
                     prefix: str = "") -> DataFrame:
-    """Wide to long, keeping NULL values; ``prefix`` is cut from the names."""
-    long = df.unpivot(list(ids), list(columns), name, value)
-    return long.withColumn(name, F.substring(name, len(prefix) + 1, 1000)) if prefix else long
+    """Wide to long, keeping NULL values; ``prefix`` is cut from the names that have it."""
+    named = {c: c.removeprefix(prefix) for c in columns}
+    return df.select(*ids, *[F.col(c).alias(new) for c, new in named.items()]).unpivot(list(ids), list(named.values()), name, value)
+
+
+def join_null_safe(df: DataFrame, other: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
+    """Equi-join in which NULL keys match NULL keys; the keys of ``df`` stay."""
+    renamed = other.withColumnsRenamed({k: f"__of_{k}" for k in keys})
+    same = F.lit(True)
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"__of_{k}"))
+    return df.join(renamed, same, how).drop(*[f"__of_{k}" for k in keys])
 
 
 def fallback_join(df: DataFrame, other: DataFrame, fine: Sequence[str], coarse: Sequence[str], value: str) -> DataFrame:
@@ -101,17 +110,20 @@ def fallback_join(df: DataFrame, other: DataFrame, fine: Sequence[str], coarse:
     """
     exact = other.groupBy(*fine).agg(F.min(value).alias(value))
     rough = other.groupBy(*coarse).agg(F.min(value).alias("__rough")).withColumn("__open", F.lit(True))
-    found = df.join(exact, list(fine), "left").withColumn("__open", F.col(value).isNull())
-    return (found.join(rough, [*coarse, "__open"], "left")
+    found = join_null_safe(df, exact, fine, "left").withColumn("__open", F.col(value).isNull())
+    return (join_null_safe(found, rough, [*coarse, "__open"], "left")
             .withColumn(value, F.coalesce(F.col(value), F.col("__rough"))).drop("__open", "__rough"))
 
 
 def group_filter(df: DataFrame, keys: Sequence[str], having: Column) -> DataFrame:
-    """Keep the rows of groups that pass a test on aggregates; the test is pre-aggregated, the rows are not regrouped."""
+    """Keep the rows of groups (NULL is one too) that pass a test on aggregates.
+
+    The test is pre-aggregated and joined, not a window, so a group with a large share of the rows never meets in one task.
+    """
     passed = df.groupBy(*keys).agg(having.alias("__pass")).where("__pass").select(*keys)
-    return df.join(passed, list(keys), "left_semi")
+    return join_null_safe(df, passed, keys, "left_semi")
 
 
 def attach_aggregates(df: DataFrame, keys: Sequence[str], aggregates: dict[str, Column]) -> DataFrame:
-    """Aggregates of every group as columns of its rows. Keys must not be NULL."""
-    return df.join(df.groupBy(*keys).agg(*[column.alias(name) for name, column in aggregates.items()]), list(keys), "left")
+    """Aggregates of every group (NULL is one too) as columns of its rows, joined for the same reason as in ``group_filter``."""
+    return join_null_safe(df, df.groupBy(*keys).agg(*[column.alias(name) for name, column in aggregates.items()]), keys, "left")

@@ -3,9 +3,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..functions import seconds_passed_game, ifelse_na
+from ..functions import ifelse_na, seconds_passed_game, whole_number
 from ..operators.scan import MAX_GROUP_ROWS, EventLog, order_chunk, row_count, running_sum, scan, split_large_groups
-from ..operators.verbs import clean_names, lookup_table, pivot_first, select_any
+from ..operators.verbs import clean_names, join_null_safe, pivot_first, select_any
 
 REPLAY, SCORING_TYPES = 18, (1, 2, 3)
 SALTS = 997
@@ -24,25 +24,45 @@ def prepare_player_logs(raw: DataFrame) -> DataFrame:
     logs = clean_names(raw)
     ids = [c for c in ("game_id", "player_id", "team_id") if c in logs.columns]
     return logs.withColumns({
-        **{c: F.col(c).try_cast("int") for c in ids},
+        **{c: whole_number(F.col(c)) for c in ids},
         "team_location": ifelse_na(F.col("matchup").rlike("@"), F.lit("away"), F.lit("home"))})
 
 
+def season_of(season_id, season: int | None = None):
+    """The season asked for, or else the year in a season id (``22023`` -> 2023)."""
+    return F.lit(season) if season is not None else whole_number(F.col(season_id)) % 10000
+
+
+def game_calendar(player_logs: DataFrame, season: int | None = None) -> DataFrame:
+    """One row per game: its date and season."""
+    return player_logs.groupBy("game_id").agg(F.min(F.col("game_date").cast("date")).alias("game_date"), F.min("season_id").alias("season_id")) \
+        .select("game_id", "game_date", season_of("season_id", season).alias("season"))
+
+
+def season_lookup(player_logs: DataFrame, key: str, value: str, new_value: str) -> DataFrame:
+    """One row per season and id: players and teams change their names between seasons. The smallest of conflicting names wins."""
+    return player_logs.where(F.col(key).isNotNull()).groupBy(F.col("season_id").alias("__season"), F.col(key).cast("bigint").alias("__id")).agg(F.min(value).alias(new_value))
+
+
 def attach_names(feed: DataFrame, player_logs: DataFrame) -> DataFrame:
-    """Player names and team slugs for the ids of the feed. Every lookup has one row per id.
+    """Player names and team slugs for the ids of the feed, as they were in the season of the game. Every lookup has one row per season and id.
 
-    The lookups hold one row per player or team, so they are normally broadcast (by measured size, never by hint). Where
+    The lookups hold one row per season and player or team, so they are normally broadcast (by measured size, never by hint). Where
     they are not, most rows have no second or third player: a salt spreads those rows instead of sending all to one task.
     """
-    named, players = feed, player_logs.select("player_id", "player_name")
+    if "season_id" not in player_logs.columns:
+        player_logs = player_logs.withColumn("season_id", F.lit(0))
+    seasons = player_logs.groupBy("game_id").agg(F.min("season_id").alias("__season"))
+    named = join_null_safe(feed, seasons, ["game_id"], "left")
     nobody = -2 * F.pmod(F.col("number_event"), F.lit(SALTS)) - 1  # odd and negative: equals no doubled id
     for slot in (1, 2, 3):
         key = F.col(f"player{slot}_id").cast("bigint")
-        names = lookup_table(players, "player_id", "player_name", new_key="__id", new_value=f"player{slot}")
+        names = season_lookup(player_logs, "player_id", "player_name", f"player{slot}")
         named = named.withColumn("__key", F.when(key.isNull(), nobody).otherwise(key * 2)).join(
-            names.select((F.col("__id").cast("bigint") * 2).alias("__key"), f"player{slot}"), "__key", "left").drop("__key")
+            names.select("__season", (F.col("__id") * 2).alias("__key"), f"player{slot}"), ["__season", "__key"], "left").drop("__key")
     for key, slug in (("team_id", "slug_team"), ("off_team_id", "off_slug_team")):
-        named = named.join(lookup_table(player_logs, "team_id", "team_abbreviation", new_key=key, new_value=slug), key, "left")
+        slugs = season_lookup(player_logs, "team_id", "team_abbreviation", slug)
+        named = named.withColumn("__id", F.col(key).cast("bigint")).join(slugs, ["__season", "__id"], "left").drop("__id")
     return select_any(named, FEED_COLUMNS)
 
 

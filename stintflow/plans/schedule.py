@@ -4,7 +4,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions import ifelse_na
+from ..sources.files import write_csv, write_parquet
 from ..operators.verbs import columns_first, prefix_columns
+from .events import season_of
 
 GAME_KEYS = ["GAME_ID", "SEASON_ID", "GAME_DATE"]
 
@@ -23,12 +25,25 @@ def pair_schedule(team_games: DataFrame, keep_wl: bool = True) -> DataFrame:
     return away.join(home, GAME_KEYS, "left")
 
 
-def season_schedule(regular: DataFrame, playoffs: DataFrame) -> DataFrame:
-    """Regular season and playoffs, each paired, with the ``Season`` they were asked for."""
+def season_schedule(regular: DataFrame, playoffs: DataFrame, season: int | None = None) -> DataFrame:
+    """Regular season and playoffs, each paired, with the ``Season`` they were asked for (or that of their season id)."""
     both = pair_schedule(regular).unionByName(pair_schedule(playoffs), allowMissingColumns=True)
-    return both.withColumn("Season", F.col("SEASON_ID"))
+    return both.withColumn("Season", season_of("SEASON_ID", season))
 
 
 def master_schedule(spark, folder: str) -> DataFrame:
-    """All season files of a folder as one frame."""
-    return spark.read.parquet(folder)
+    """All season files of a folder as one frame; columns that some seasons lack are NULL there."""
+    return spark.read.option("mergeSchema", True).parquet(folder)
+
+
+def write_schedules(schedule: DataFrame, folder: str) -> dict[str, str]:
+    """The schedule per season (partitions, replaced one by one) and as one master table, each as CSV and Parquet."""
+    paths = {}
+    for fmt, write in (("csv", write_csv), ("parquet", write_parquet)):
+        paths[fmt] = f"{folder}/{fmt}"
+        write(schedule.withColumn("season", F.col("Season")).drop("Season") if "Season" in schedule.columns else schedule, paths[fmt], "season")
+    master = schedule.sparkSession.read.option("mergeSchema", True).parquet(paths["parquet"])
+    for fmt, write in (("csv", write_csv), ("parquet", write_parquet)):
+        paths[f"master_{fmt}"] = f"{folder}/master_{fmt}"
+        write(master, paths[f"master_{fmt}"])
+    return paths

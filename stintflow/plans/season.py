@@ -3,7 +3,7 @@ from __future__ import annotations
 
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame
 
 from ..operators.scan import CHUNK, MAX_GROUP_ROWS, EventLog, beside
 from ..sources.shared import stage
@@ -25,12 +25,6 @@ class SeasonTables(NamedTuple):
     lineup_stats_existing: DataFrame
 
 
-def game_calendar(player_logs: DataFrame) -> DataFrame:
-    """One row per game: its date and season."""
-    return player_logs.groupBy("game_id").agg(
-        F.min(F.col("game_date").cast("date")).alias("game_date"), F.min("season_id").alias("season"))
-
-
 def starting_lineups(log: EventLog, tables: LandedTables) -> DataFrame:
     starters = lineups.all_starters(log.frame(), tables.player_logs, tables.period_box)
     return stage(lineups.starting_lineups(starters, tables.player_logs))
@@ -54,10 +48,10 @@ def _enrich(part: DataFrame, starts: DataFrame, calendar: DataFrame) -> DataFram
     return stats.with_stints(garbage.with_off_def_lineups(garbage.with_garbage_time(out, starts)))
 
 
-def enriched_events(tables: LandedTables, max_rows: int = MAX_GROUP_ROWS) -> EventLog:
+def enriched_events(tables: LandedTables, max_rows: int = MAX_GROUP_ROWS, season: int | None = None) -> EventLog:
     """Feed -> events with line-ups, possessions, points, garbage time, roles and stints."""
     log = ev.sequence_events(tables.feed, tables.player_logs, max_rows).stage()
-    return log.apply(_enrich, starting_lineups(log, tables), game_calendar(tables.player_logs))
+    return log.apply(_enrich, starting_lineups(log, tables), ev.game_calendar(tables.player_logs, season))
 
 
 def existing_stats(log: EventLog) -> DataFrame:
@@ -65,9 +59,9 @@ def existing_stats(log: EventLog) -> DataFrame:
     return log.apply(stats.lineup_stats_existing).frame()
 
 
-def build_season(tables: LandedTables, max_rows: int = MAX_GROUP_ROWS) -> SeasonTables:
-    """All tables of a build. Two things are staged because several outputs read them: events and stint sums."""
-    log = enriched_events(tables, max_rows).stage()
+def build_season(tables: LandedTables, max_rows: int = MAX_GROUP_ROWS, season: int | None = None) -> SeasonTables:
+    """All tables of a build, for the season asked for or for each game's own. Two things are staged because several outputs read them: events and stint sums."""
+    log = enriched_events(tables, max_rows, season).stage()
     existing = stage(existing_stats(log))
     index = stage(stats.lineup_index(existing))
     active = stats.lineup_stats(existing, max_rows).join(index, ["season", "lineup"], "left")

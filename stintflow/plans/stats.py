@@ -4,7 +4,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions import split_names, sum_na
-from ..operators.scan import (MAX_GROUP_ROWS, beside, fill_down, fill_up, number_rows, order_chunk, row_count,
+from ..operators.scan import (MAX_GROUP_ROWS, beside, fill_down, fill_up, nulls_last, number_rows, order_chunk, row_count,
                               running_sum, scan, split_large_groups)
 from .lineups import LINEUP_SIZE, SUBSTITUTION, roster
 from .possessions import BY_EVENT
@@ -62,33 +62,36 @@ def lineup_index(existing: DataFrame) -> DataFrame:
 
     Numbered in blocks of games, so a season is never one task.
     """
-    order = ["game_id", "game_date", "period", "stint", "slug_team", "slug_opp", "garbage_time"]
-    first = existing.groupBy("season", "lineup").agg(F.min(F.struct(*order)).alias("first"))
+    order = ["game_id", "game_date", "period", "stint", "slug_team", "slug_opp"]  # line-ups of one place follow by name
+    first = existing.groupBy("season", "lineup").agg(F.min(nulls_last(*order)).alias("first"))
     blocks = [("__games", F.floor(F.col("first.game_id") / GAMES_PER_BLOCK)),
-              ("__part", F.struct(F.col("first.game_id"), F.col("first.period"),
+              ("__part", F.struct(F.col("first.game_id"), F.col("first.game_date_unknown"), F.col("first.game_date"),
+                                  F.col("first.period_unknown"), F.col("first.period"), F.col("first.stint_unknown"),
                                   F.floor(F.col("first.stint") / GAMES_PER_BLOCK)))]
     return number_rows(first, ["season"], ["first", "lineup"], blocks, "lineup_id").select("season", "lineup", "lineup_id")
 
 
 def lineup_members(existing: DataFrame, player_logs: DataFrame, index: DataFrame) -> DataFrame:
-    """One row per (season, game, team, line-up) with its id and the ids of its first five players.
+    """One row per (season, game, team, line-up) with its id, the ids of its first five players, and of everyone in it.
 
     Few line-ups occur per game, so ids are looked up here once instead of in ten joins on the events.
     """
     distinct = existing.select("season", "game_id", "slug_team", "lineup").distinct()
     ids = roster(player_logs).select("game_id", "slug_team", "player_name", "player_id")
-    players = distinct.select("*", F.posexplode(F.slice(split_names(F.col("lineup")), 1, LINEUP_SIZE)).alias("slot", "player_name"))
+    players = distinct.select("*", F.posexplode(split_names(F.col("lineup"))).alias("slot", "player_name"))
     wide = players.join(ids, ["game_id", "slug_team", "player_name"], "left").groupBy(
         "season", "game_id", "slug_team", "lineup").agg(*[
-            F.max(F.when(F.col("slot") == slot, F.col("player_id"))).alias(f"player{slot + 1}_id") for slot in range(LINEUP_SIZE)])
+            F.max(F.when(F.col("slot") == slot, F.col("player_id"))).alias(f"player{slot + 1}_id") for slot in range(LINEUP_SIZE)],
+        F.countDistinct("slot").alias("n_players"), F.array_sort(F.collect_set(F.struct("slot", "player_id"))).alias("__all"))
+    wide = wide.withColumn("player_ids", F.transform("__all", lambda one: one["player_id"])).drop("__all")
     return wide.join(index, ["season", "lineup"], "left")
 
 
 def attach_lineup_ids(events: DataFrame, members: DataFrame) -> DataFrame:
-    """``off_`` and ``def_`` line-up ids and player ids on every event."""
+    """``off_`` and ``def_`` line-up ids and player ids on every event: five slots, and ``player_ids`` with everyone."""
     out = beside(events, events, "game_id")
     for role in ("off", "def"):
-        ids = {c: f"{role}_{c}" for c in members.columns if c.endswith("_id") and c != "game_id"}
+        ids = {c: f"{role}_{c}" for c in members.columns if c.endswith(("_id", "player_ids", "n_players")) and c != "game_id"}
         side = members.select("season", "game_id", F.col("slug_team").alias(f"{role}_slug_team"),
                               F.col("lineup").alias(f"{role}_lineup"), *[F.col(c).alias(n) for c, n in ids.items()])
         out = out.join(beside(side, events, "game_id"), ["season", "game_id", f"{role}_slug_team", f"{role}_lineup"], "left")

@@ -17,6 +17,10 @@ def read_documents(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def compact_folder(spark: SparkSession, source: str, target: str, files: int | None = None) -> None:
-    """Rewrite a folder of small documents into ``target`` as (doc_id, doc) lines; the source is never touched."""
-    docs = read_documents(spark, source).withColumn("doc", compact_json(F.col("doc")))
-    (docs.coalesce(files) if files else docs).write.mode("overwrite").json(target)
+    """Rewrite a folder of small documents into ``target`` as (doc_id, doc) lines; the source is never touched.
+
+    A document that does not parse keeps its text in ``_corrupt``. ``files`` spreads the parsed documents, so the parsing itself stays parallel.
+    """
+    docs = read_documents(spark, source).withColumn("parsed", compact_json(F.col("doc")))
+    docs = docs.select("doc_id", F.col("parsed").alias("doc"), F.when(F.col("parsed").isNull(), F.col("doc")).alias("_corrupt"))
+    (docs.repartition(files) if files else docs).write.mode("overwrite").json(target)

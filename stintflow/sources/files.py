@@ -4,6 +4,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import ArrayType
 
 from ..functions import extract_first
 
@@ -14,10 +15,13 @@ def scan_csv(spark: SparkSession, path: str, schema: str | None = None) -> DataF
     return (reader.schema(schema) if schema else reader.option("inferSchema", True)).csv(path)
 
 
-def season_from_path(pattern: str = r"\d+", column: str = "season"):
-    """Season of the file a row came from: first match of ``pattern`` in the last two parts of its path."""
-    tail = F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+)/[^/]+$", 1)
-    return extract_first(tail, pattern).try_cast("int").alias(column)
+def season_from_path(pattern: str = r"(?<!\d)\d{4}(?!\d)", column: str = "season"):
+    """Season of the file a row came from: the last match of ``pattern`` in the file's name (``schedule_2005.csv``), else in a
+    ``key=value`` folder above it. Other digits of the path never count, and part files of Spark are named by their folder."""
+    path = F.col("_metadata.file_path")
+    name = F.when(~path.rlike(r"/part-[^/]*$"), F.element_at(F.regexp_extract_all(F.regexp_extract(path, r"([^/]+)$", 1), F.lit(f"({pattern})"), F.lit(0)), -1))
+    folder = extract_first(F.regexp_extract(path, r"^.*/[^/=]+=([^/]+)/[^/]+$", 1), pattern)
+    return F.coalesce(name, folder).try_cast("int").alias(column)
 
 
 def scan_seasons(spark: SparkSession, folder: str, fmt: str = "parquet", schema: str | None = None,
@@ -40,6 +44,12 @@ def union_seasons(frames: Sequence[DataFrame]) -> DataFrame:
     return first
 
 
+def scan_json(spark: SparkSession, path: str, schema: str, multi_line: bool = False) -> DataFrame:
+    """JSON lines, or one document per file; a document that does not parse is kept as text in ``_corrupt``."""
+    reader = spark.read.option("multiLine", multi_line).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt")
+    return reader.schema(f"{schema}, _corrupt STRING").json(path)
+
+
 def pluck(docs: DataFrame, frame: str, *keep: str) -> DataFrame:
     """Rows of one named frame inside nested documents."""
     return docs.select(*keep, F.inline(F.col(frame)))
@@ -50,18 +60,23 @@ def _by_partition(df: DataFrame, partition: Sequence[str]) -> DataFrame:
     return df.hint("rebalance", *partition) if partition else df
 
 
+def _writer(df: DataFrame, partition: Sequence[str]):
+    """Season partitions are replaced one by one, so a rebuilt season leaves the others alone, whatever the format."""
+    return _by_partition(df, partition).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition)
+
+
 def write_csv(df: DataFrame, path: str, *partition: str) -> None:
-    _by_partition(df, partition).write.mode("overwrite").option("header", True).partitionBy(*partition).csv(path)
+    """Arrays become comma separated text, which CSV has no other form for."""
+    lists = {f.name: F.array_join(F.col(f.name).cast("array<string>"), ",", "?") for f in df.schema.fields if isinstance(f.dataType, ArrayType)}
+    _writer(df.withColumns(lists) if lists else df, partition).option("header", True).csv(path)
 
 
 def write_json(df: DataFrame, path: str, *partition: str) -> None:
-    _by_partition(df, partition).write.mode("overwrite").option("ignoreNullFields", False).partitionBy(*partition).json(path)
+    _writer(df, partition).option("ignoreNullFields", False).json(path)
 
 
 def write_parquet(df: DataFrame, path: str, *partition: str) -> None:
-    """Season partitions are replaced one by one, so a rebuilt season leaves the others alone."""
-    _by_partition(df, partition).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
-        *partition).parquet(path)
+    _writer(df, partition).parquet(path)
 
 
 WRITERS = {"csv": write_csv, "json": write_json, "parquet": write_parquet}

@@ -7,6 +7,7 @@ from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from ..functions import whole_number
 from .files import WRITERS, scan_seasons
 from .shared import stage
 
@@ -46,7 +47,7 @@ def stamp(df: DataFrame, text: str, updated_at: datetime.datetime | None = None)
 
 def schedule_types(df: DataFrame) -> DataFrame:
     """Schedules of different seasons disagree on three column types; this settles them."""
-    return df.withColumns({"id": F.col("id").try_cast("int"), "game_id": F.col("game_id").try_cast("int"),
+    return df.withColumns({"id": whole_number(F.col("id")), "game_id": whole_number(F.col("game_id")),
                            "status_display_clock": F.col("status_display_clock").cast("string")})
 
 
@@ -73,6 +74,11 @@ def republish(spark: SparkSession, dataset: Dataset, source: str, folder: str, *
     return publish(stamp(prepare(rows) if prepare else rows, dataset.title, updated_at), folder, dataset.name, formats)
 
 
+def republish_all(spark: SparkSession, config: DataFrame, folder: str, **options) -> dict[str, dict[str, str]]:
+    """Republish every dataset of a configuration table (``dataset, title, source``: one short row per dataset)."""
+    return {row.dataset: republish(spark, Dataset(row.dataset, row.title), row.source, folder, **options) for row in config.toLocalIterator()}
+
+
 def write_season_outputs(tables: dict[str, DataFrame], folder: str, formats: Sequence[str] = ("csv", "parquet"),
                          updated_at: datetime.datetime | None = None) -> dict[str, dict[str, str]]:
     """Stamp and publish the tables of a season build."""

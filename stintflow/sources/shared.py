@@ -3,6 +3,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -34,6 +36,15 @@ def clear_stages(spark: SparkSession) -> None:
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+@contextmanager
+def staging(spark: SparkSession) -> Iterator[None]:
+    """Everything staged inside is deleted at the end; results that are to stay must have been written elsewhere or collected."""
+    try:
+        yield
+    finally:
+        clear_stages(spark)
+
+
 def stage(df: DataFrame) -> DataFrame:
     """Write the frame as a table in the shared folder and continue from it.
 

@@ -101,6 +101,21 @@ def sink_parquet(spark, sf_dir):
     return spark.read.parquet(path)
 
 
+@query
+def season_rebuild(spark, sf_dir):
+    """One season written again, with other values, in every format; the other seasons stay."""
+    orders = fx.table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", F.year("o_orderdate").alias("season"))
+    again = orders.where("season = 1995").withColumn("o_custkey", F.col("o_custkey") + 1)
+    schema = "o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, season INT"
+    read = []
+    for fmt, write in files.WRITERS.items():
+        path = new_path(spark, f"rebuild-{fmt}")
+        write(orders, path, "season")
+        write(again, path, "season")
+        read.append(spark.read.format(fmt).option("header", True).schema(schema).load(path).withColumn("format", F.lit(fmt)))
+    return files.union_seasons(read)
+
+
 @query
 def republish_dataset(spark, sf_dir):
     source, target = new_path(spark, "landed"), new_path(spark, "published")
@@ -151,6 +166,14 @@ def group_filter(spark, sf_dir):
     return verbs.group_filter(lines, ["l_orderkey"], returned & (F.max("l_quantity") >= 45))
 
 
+@query
+def group_filter_null(spark, sf_dir):
+    """A NULL group passes like any other and keeps its rows."""
+    lines = fx.table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", F.when(F.col("l_suppkey") % 7 != 0, F.col("l_suppkey")).alias("supplier"), "l_quantity")
+    passed = verbs.group_filter(lines, ["supplier"], F.max("l_quantity") >= 30)
+    return verbs.attach_aggregates(passed, ["supplier"], {"n_lines": F.count(F.lit(1)), "least": F.min("l_quantity")})
+
+
 @query
 def select_rename(spark, sf_dir):
     return fx.table(spark, sf_dir, "customer").select("c_custkey", F.col("c_name").alias("customer"), F.col("c_nationkey")).withColumnRenamed(
@@ -596,7 +619,7 @@ def foul_stats(spark, sf_dir):
 @query
 def pbp_points_poss(spark, sf_dir):
     log = possession_log(spark, sf_dir).apply(fouls.with_points_and_possessions).frame()
-    dated = log.join(season.game_calendar(fx.player_logs(spark, sf_dir)), "game_id", "left")
+    dated = log.join(events.game_calendar(fx.player_logs(spark, sf_dir)), "game_id", "left")
     return dated.select("game_id", "game_date", "number_event", "shot_pts_home", "shot_pts_away", "poss_home", "poss_away", "secs_played")
 
 
@@ -621,7 +644,9 @@ def off_def_lineups(spark, sf_dir):
 def lineup_player_ids(spark, sf_dir):
     tune(spark)
     rows = season.build_season(fx.landed(spark, sf_dir)).play_by_play
-    return rows.select("game_id", "number_event", *[f"{role}_player{slot}_id" for role in ("off", "def") for slot in range(1, 6)])
+    return rows.select("game_id", "number_event", *[f"{role}_player{slot}_id" for role in ("off", "def") for slot in range(1, 6)], *[
+        column for role in ("off", "def") for column in (F.array_join(F.col(f"{role}_player_ids").cast("array<string>"), ",", "?").alias(f"{role}_player_ids"),
+                                                         F.col(f"{role}_n_players").alias(f"{role}_n_players"))])
 
 
 # ---- statistics and outputs
@@ -670,8 +695,10 @@ def season_outputs(spark, sf_dir):
     names = ("play_by_play", "lineup_index", "lineup_stats")
     outputs = publish.write_season_outputs({name: getattr(built, name) for name in names}, new_path(spark, "outputs"), updated_at=STAMPED_AT)
     counted = []
+    value = {"play_by_play": "3 * double(number_event) + double(msg_type)", "lineup_index": "double(lineup_id)", "lineup_stats": "7 * double(pts_team) + double(stint)"}
     for name, paths in outputs.items():
         back = {"csv": spark.read.option("header", True).csv(paths["csv"]), "parquet": spark.read.parquet(paths["parquet"])}
-        counted += [df.groupBy(F.col("season").cast("int").alias("season"), "_source").agg(F.count(F.lit(1)).alias("n_rows")).select(
-            F.lit(name).alias("dataset"), F.lit(fmt).alias("format"), "season", "_source", "n_rows") for fmt, df in back.items()]
+        counted += [df.groupBy(F.col("season").cast("int").alias("season"), "_source").agg(
+            F.count(F.lit(1)).alias("n_rows"), F.sum(F.expr(value[name])).cast("bigint").alias("total")).select(
+            F.lit(name).alias("dataset"), F.lit(fmt).alias("format"), "season", "_source", "n_rows", "total") for fmt, df in back.items()]
     return files.union_seasons(counted)
