@@ -17,9 +17,10 @@ def scan_csv(spark: SparkSession, path: str, schema: str | None = None) -> DataF
 
 def season_from_path(pattern: str = r"(?<!\d)\d{4}(?!\d)", column: str = "season"):
     """Season of the file a row came from: the last match of ``pattern`` in the file's name (``schedule_2005.csv``), else in a
-    ``key=value`` folder above it. Other digits of the path never count, and part files of Spark are named by their folder."""
+    ``key=value`` folder above it. The files of a folder that Spark wrote go by the folder's name. Other digits of the path never count."""
     path = F.col("_metadata.file_path")
-    name = F.when(~path.rlike(r"/part-[^/]*$"), F.element_at(F.regexp_extract_all(F.regexp_extract(path, r"([^/]+)$", 1), F.lit(f"({pattern})"), F.lit(0)), -1))
+    own = F.regexp_extract(path, r"([^/]+?)(?:/part-[^/]*)?$", 1)
+    name = F.try_element_at(F.regexp_extract_all(own, F.lit(f"({pattern})"), F.lit(0)), F.lit(-1))
     folder = extract_first(F.regexp_extract(path, r"^.*/[^/=]+=([^/]+)/[^/]+$", 1), pattern)
     return F.coalesce(name, folder).try_cast("int").alias(column)
 

@@ -2,6 +2,7 @@
 import datetime
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from stintflow import fixtures as fx
@@ -107,3 +108,22 @@ def test_season_outputs_hold_the_invariants(spark, small):
     paths = publish.write_season_outputs({"lineup_index": built.lineup_index}, new_path(spark, "test"), updated_at=WHEN)
     assert rows(spark.read.parquet(paths["lineup_index"]["parquet"]), "lineup", "lineup_id", "season") == rows(
         built.lineup_index, "lineup", "lineup_id", "season")
+
+
+@pytest.mark.parametrize("fmt", ["csv", "json", "parquet"])
+def test_rebuilt_season_leaves_the_others(spark, tmp_path, fmt):
+    from stintflow.sources.files import WRITERS
+    path = str(tmp_path / "t")
+    WRITERS[fmt](spark.createDataFrame([(1, 2001), (2, 2002)], "v int, season int"), path, "season")
+    WRITERS[fmt](spark.createDataFrame([(9, 2002)], "v int, season int"), path, "season")
+    back = spark.read.format(fmt).option("header", True).schema("v int, season int").load(path)
+    assert sorted(map(tuple, back.collect())) == [(1, 2001), (9, 2002)]
+
+
+def test_season_comes_from_the_file_name_first(spark, tmp_path):
+    for place in ("schedules/csv/stats_schedule_2001.csv", "v2/schedule_2005.csv", "v2/schedule.csv", "season=2007/box_1.csv"):
+        file = tmp_path / place
+        file.parent.mkdir(parents=True, exist_ok=True)
+        file.write_text("a\n1\n")
+    rows = files.scan_seasons(spark, str(tmp_path), "csv", "a int").collect()
+    assert sorted((r.season or 0) for r in rows) == [0, 2001, 2005, 2007]
