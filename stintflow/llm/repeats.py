@@ -1,12 +1,12 @@
 """Exact substring dedup: bytes inside a string of 100 bytes that also starts earlier in the corpus are removed.
 
-1. Anchors. Every 100-byte string holds the 28-byte string with the smallest hash among its 73; such anchors are about one byte in 37.
-   An anchor stands for the snippet of all 100-byte strings around it. Equal snippets of a batch are reduced to the first at once.
+1. Anchors. The anchor of a 100-byte string is the 28-byte string in it with the smallest hash; anchors are about one byte in 37.
+   An anchor stands for the snippet of all 100-byte strings that it is the anchor of. Equal snippets of a batch are reduced to the first at once.
 2. Anchors meet by hash. Later occurrences of an equal snippet are removed whole; where one anchor has different snippets, the first of each is
    in question.
 3. The snippets in question are dealt by anchor and indexed in blocks: a run-length compressed Burrows-Wheeler transform with the ranks and places
-   sampled at its run ends and at the intervals of equal 100-byte strings. Each snippet is streamed backwards through the index; the matching
-   statistics, bounded by 100, give the interval of each of its 100-byte strings, whose sample is the earliest place in the corpus.
+   sampled at its run ends, at the ends of snippets and at the intervals of equal 100-byte strings. Each snippet is streamed backwards through the
+   index; the matching statistics, bounded by 100, give the interval of each of its 100-byte strings, whose sample is the earliest place in the corpus.
 4. An anchor with more than ``GROUP_SNIPPETS`` different snippets is dealt once more, by the 100-byte strings themselves.
 
 Anchors and snippets are told apart by 64 bits each, and the strings in the index by all their bytes.
@@ -27,44 +27,50 @@ from ..sources.shared import stage
 from . import flat
 
 LENGTH, ANCHOR = 100, 28
-REACH = LENGTH - ANCHOR  # bytes of a snippet before its anchor
-GROUP_SNIPPETS, BLOCK_BYTES = 20_000, 4 << 20
+GROUP_SNIPPETS, BLOCK_BYTES = 20_000, 3 << 19
 SEPARATOR = 0xFF  # no byte of UTF-8
-_LAST = np.uint64(0xFFFFFFFFFFFFFFFF)
+_PLACE = np.uint64(0xFFFFFFFF)  # half of a hash that gives way to the place when hashes are compared
 
 
-def _sliding(values: np.ndarray, size: int, kept) -> np.ndarray:
-    """Minimum or maximum of every ``size`` neighbours."""
+def _sliding_least(values: np.ndarray, size: int) -> np.ndarray:
+    """Minimum of every ``size`` neighbours."""
     out, done = values, 1
     while done * 2 <= size:
-        out = kept(out[:-done], out[done:])
+        out = np.minimum(out[:-done], out[done:])
         done *= 2
-    return kept(out[:len(out) - (size - done)], out[size - done:]) if done < size else out
+    return np.minimum(out[:len(out) - (size - done)], out[size - done:]) if done < size else out
 
 
 def anchors(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, ...]:
-    """For every anchor of a chunk: its text, place in it, hash, snippet bounds in the text and snippet hash."""
+    """For every anchor of a chunk: its text, its hash, bounds in the text of the strings that it stands for, and their hash.
+
+    Of equal hashes the first in a string is its anchor, so the strings of one anchor follow byte by byte.
+    """
     none = np.zeros(0, np.int64)
-    windows = LENGTH - ANCHOR + 1
     if len(data) < LENGTH:
-        return none, none, none.view(np.uint64), none, none, none.view(np.uint64)
+        return none, none.view(np.uint64), none, none, none.view(np.uint64)
     sums = flat.byte_prefix(data)
     _, down = flat.powers(flat.BASE, len(sums))
     hashes = flat.mixed((sums[ANCHOR:] - sums[:-ANCHOR]) * down[:len(sums) - ANCHOR])
-    for begin, end in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
-        hashes[begin if end - begin < LENGTH else max(begin, end - ANCHOR + 1):end] = _LAST
-    least = _sliding(hashes, windows, np.minimum)
-    zeros = np.zeros(windows - 1, np.uint64)
-    chosen = np.flatnonzero((_sliding(np.concatenate([zeros, least, zeros]), windows, np.maximum) == hashes) & (hashes != _LAST))
-    owner = flat.text_of(chosen, bounds)
-    low = np.maximum(bounds[owner], chosen - REACH)
-    high = np.minimum(bounds[owner + 1], chosen + LENGTH)
-    prints = flat.mixed(flat.taken(sums, low, high) + (chosen - low).astype(np.uint64))
-    return owner, chosen - bounds[owner], hashes[chosen], low - bounds[owner], high - bounds[owner], prints
+    ranked = (hashes & ~_PLACE) | np.arange(len(hashes), dtype=np.uint64)
+    at = (_sliding_least(ranked, LENGTH - ANCHOR + 1) & _PLACE).astype(np.int64)
+    inside = np.ones(len(at), bool)
+    for bound in bounds[1:-1].tolist():
+        inside[max(0, bound - LENGTH + 1):bound] = False
+    starts = np.flatnonzero(inside)
+    if not len(starts):
+        return none, none.view(np.uint64), none, none, none.view(np.uint64)
+    at = at[starts]
+    first = np.flatnonzero(np.concatenate(([True], (at[1:] != at[:-1]) | (starts[1:] != starts[:-1] + 1))))
+    last = np.append(first[1:], len(starts)) - 1
+    low, high, at = starts[first], starts[last] + LENGTH, at[first]
+    owner = flat.text_of(low, bounds)
+    prints = flat.mixed(flat.taken(sums, low, high) + (at - low).astype(np.uint64))
+    return owner, hashes[at], low - bounds[owner], high - bounds[owner], prints
 
 
 def _found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """First occurrences of snippets in a batch; the others as spans (``place`` -1, bounds in ``print``)."""
+    """First occurrences of snippets in a batch, their bounds in one number; the others as spans, whose number is inverted and thus negative."""
     for batch in batches:
         data, bounds = flat.utf8(batch.column("text"))
         keys = batch.column("key").to_numpy(zero_copy_only=False)
@@ -74,9 +80,9 @@ def _found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             parts.append((keys[a + owner], *rest))
         if not parts:
             continue
-        key, place, anchor, low, high, prints = (np.concatenate(x) for x in zip(*parts))
+        key, anchor, low, high, prints = (np.concatenate(x) for x in zip(*parts))
         joint = flat.mixed(anchor + prints * np.uint64(flat.BASE))
-        order = np.lexsort((place, key, joint))
+        order = np.lexsort((low, key, joint))
         again = np.zeros(len(order), bool)
         again[1:] = joint[order[1:]] == joint[order[:-1]]
         first, later = order[~again], order[again]
@@ -88,18 +94,21 @@ def _found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ends = hi[np.append(at[1:], len(later)) - 1] if len(at) else hi[:0]
         yield pa.RecordBatch.from_arrays(
             [pa.array(np.concatenate([anchor[first].view(np.int64), flat.mixed(k[at].astype(np.uint64)).view(np.int64)])),
-             pa.array(np.concatenate([prints[first].view(np.int64), (lo[at] << 32) + ends])),
-             pa.array(np.concatenate([key[first], k[at]])), pa.array(np.concatenate([place[first], np.full(len(at), -1)]))],
+             pa.array(np.concatenate([prints[first].view(np.int64), np.zeros(len(at), np.int64)])),
+             pa.array(np.concatenate([key[first], k[at]])), pa.array(np.concatenate([(low[first] << 32) | high[first], ~((lo[at] << 32) | ends)]))],
             ["anchor", "print", "key", "place"])
 
 
 def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """From rows in order of anchor, print, key and place: spans to remove, and first occurrences in question (with their anchor)."""
     last, waiting = None, None
+
+    def rows(key, place, anchor=None):
+        return key, place >> 32, place & 0xFFFFFFFF, np.zeros(len(key), np.int64) if anchor is None else anchor, np.full(len(key), anchor is not None)
     for batch in batches:
         anchor, prints, key, place = (batch.column(k).to_numpy(zero_copy_only=False) for k in range(4))
         spans = place < 0
-        out = [(key[spans], prints[spans] >> 32, prints[spans] & 0xFFFFFFFF, np.zeros(int(spans.sum()), np.int64), np.zeros(int(spans.sum()), bool))]
+        out = [rows(key[spans], ~place[spans])]
         anchor, prints, key, place = (x[~spans] for x in (anchor, prints, key, place))
         if len(anchor):
             group = np.ones(len(anchor), bool)
@@ -118,95 +127,108 @@ def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             many[0] = True
             asked = first[many[number[first]]]
             if number[-1] > 0:
-                single = first[-1] if kinds[-1] == 1 else None
-                waiting = None if single is None else tuple(np.array([v], kind) for v, kind in ((key[single], np.int64), (place[single], np.int64), (0, np.int64), (anchor[single], np.int64), (True, bool)))
-            later = ~fresh
-            out.append((key[later], np.maximum(place[later] - REACH, 0), place[later] + LENGTH, np.zeros(int(later.sum()), np.int64), np.zeros(int(later.sum()), bool)))
-            out.append((key[asked], place[asked], np.zeros(len(asked), np.int64), anchor[asked], np.ones(len(asked), bool)))
+                waiting = rows(key[first[-1:]], place[first[-1:]], anchor[first[-1:]]) if kinds[-1] == 1 else None
+            out += [rows(key[~fresh], place[~fresh]), rows(key[asked], place[asked], anchor[asked])]
             last = (anchor[-1], prints[-1])
         yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*out)], ["key", "low", "high", "anchor", "asked"])
 
 
 class RunIndex:
-    """Run-length compressed transform of a text of snippets, each ended by ``SEPARATOR``; ``places`` order all starts in the corpus."""
+    """Run-length compressed transform of a text of snippets, each ended by ``SEPARATOR``; ``places`` order all starts in the corpus.
+
+    Rows are the text's suffixes in the order of their first 100 bytes. Those that share 99 or 100 bytes are intervals of rows, and a step
+    backwards takes the first row of an interval to the first row of the interval of one byte more.
+    """
 
     def __init__(self, text: np.ndarray, places: np.ndarray):
-        self.text, self.size = text, len(text)
-        width, rank = 8, self._first_ranks()
-        while width < 64:
-            rank, width = self._ranks(rank, width), width * 2
-        tail, whole = self._ranks(rank, LENGTH - 1 - 64), self._ranks(rank, LENGTH - 64)
-        order = np.argsort(whole)
+        self.text, self.size, self.places = text, len(text), places
+        rank, _ = self._dense(self._words())
+        for width in (8, 24):
+            rank, _ = self._three(rank, width)
+        order = self._dense(self._pair(rank, LENGTH - 72))[1]
+        ahead = np.concatenate([rank, np.zeros(LENGTH, np.uint64)])
+
+        def same(length: int) -> np.ndarray:
+            return (rank[order[1:]] == rank[order[:-1]]) & (ahead[order[1:] + length - 72] == ahead[order[:-1] + length - 72])
+        self.shorter = self._first_rows(same(LENGTH - 1))
+        whole = np.flatnonzero(np.concatenate(([True], ~same(LENGTH))))
+        self.earliest = np.zeros(self.size, np.int64)
+        self.earliest[whole] = np.minimum.reduceat(places[order], whole)
+        self.row_of = np.empty(self.size, np.int64)
+        self.row_of[order] = np.arange(self.size)
+
         before = text[order - 1]
         starts = np.flatnonzero(np.concatenate(([True], before[1:] != before[:-1])))
-        lengths = np.diff(np.append(starts, self.size))
         heads = before[starts].astype(np.int64)
         by_head = np.argsort(heads, kind="stable")
-        self.keys = heads[by_head] * self.size + starts[by_head]
-        self.starts, self.lengths = starts[by_head], lengths[by_head]
-        total = np.cumsum(self.lengths) - self.lengths
+        lengths = np.diff(np.append(starts, self.size))[by_head]
+        self.keys, self.starts, self.lengths = heads[by_head] * self.size + starts[by_head], starts[by_head], lengths
+        total = np.cumsum(lengths) - lengths
         self.first_of = np.searchsorted(heads[by_head], np.arange(257))
-        self.ranks = total - total[np.minimum(self.first_of[heads[by_head]], len(total) - 1)]
+        self.ranks = total - total[self.first_of[heads[by_head]]]
         self.below = np.concatenate(([0], np.cumsum(np.bincount(text, minlength=256))))
-        self.low, self.high = self._intervals(tail[order])
-        low, _ = self._intervals(whole[order])
-        at = np.flatnonzero(np.arange(self.size) == low)
-        self.earliest = np.zeros(self.size, np.int64)
-        self.earliest[at] = np.minimum.reduceat(places[order], at)
-        self.places = places
 
-    def _first_ranks(self) -> np.ndarray:
+    def _words(self) -> np.ndarray:
+        """Eight bytes from each place on as one number."""
         padded = np.concatenate([self.text, np.zeros(8, np.uint8)]).astype(np.uint64)
-        words = np.zeros(self.size, np.uint64)
-        for k in range(8):
+        words = padded[:self.size].copy()
+        for k in range(1, 8):
             words = (words << np.uint64(8)) | padded[k:k + self.size]
-        return self._dense(words)
+        return words
 
-    def _ranks(self, rank: np.ndarray, shift: int) -> np.ndarray:
-        """Ranks of the strings made of one at each place and one ``shift`` bytes on."""
-        second = np.zeros(self.size, np.uint64)
-        second[:self.size - shift] = rank[shift:] + np.uint64(1)
-        return self._dense(rank * np.uint64(self.size + 1) + second)
+    def _ahead(self, rank: np.ndarray, shift: int) -> np.ndarray:
+        out = np.zeros(self.size, np.uint64)
+        if shift < self.size:
+            out[:self.size - shift] = rank[shift:] + np.uint64(1)
+        return out
+
+    def _pair(self, rank: np.ndarray, shift: int) -> np.ndarray:
+        return rank * np.uint64(self.size + 1) + self._ahead(rank, shift)
+
+    def _three(self, rank: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+        """Ranks of three times the width; for large texts the first two parts are ranked before the third joins."""
+        pair = self._pair(rank, width)
+        if (self.size + 1) ** 3 >= 1 << 64:
+            pair, _ = self._dense(pair)
+        return self._dense(pair * np.uint64(self.size + 1) + self._ahead(rank, 2 * width))
 
     @staticmethod
-    def _dense(values: np.ndarray) -> np.ndarray:
+    def _dense(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ranks without gaps, and the order."""
         order = np.argsort(values)
         ordered = values[order]
         out = np.empty(len(values), np.uint64)
         out[order] = np.cumsum(np.concatenate(([False], ordered[1:] != ordered[:-1])))
-        return out
+        return out, order
 
     @staticmethod
-    def _intervals(ranks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """For each row the first row and the end of the rows with the same rank."""
-        at = np.flatnonzero(np.concatenate(([True], ranks[1:] != ranks[:-1])))
-        sizes = np.diff(np.append(at, len(ranks)))
-        return np.repeat(at, sizes), np.repeat(at + sizes, sizes)
+    def _first_rows(same: np.ndarray) -> np.ndarray:
+        at = np.flatnonzero(np.concatenate(([True], ~same)))
+        return np.repeat(at, np.diff(np.append(at, len(same) + 1)))
 
     def rank(self, sign: np.ndarray, row: np.ndarray) -> np.ndarray:
         """Occurrences of each sign before a row."""
         run = np.searchsorted(self.keys, sign * self.size + row) - 1
-        own = run >= self.first_of[sign]
-        return np.where(own, self.ranks[run] + np.minimum(row - self.starts[run], self.lengths[run]), 0)
+        return np.where(run >= self.first_of[sign], self.ranks[run] + np.minimum(row - self.starts[run], self.lengths[run]), 0)
 
     def repeated(self, begins: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        """True at the start of each 100-byte string, of the snippets given, that starts earlier in the corpus as well."""
+        """True at the start of each 100-byte string, of the snippets given, that starts earlier in the corpus as well.
+
+        Each snippet begins with the sampled row of its last 99 bytes and is read backwards; its matches stay 99 bytes long between two steps.
+        """
         marks = np.zeros(self.size, bool)
         active = np.argsort(begins - ends, kind="stable")  # long ones first
-        begins, at = begins[active], ends[active] - 1
-        low, high = np.zeros(len(at), np.int64), np.full(len(at), self.size)
-        matched = 0
+        begins, at = begins[active], ends[active] - LENGTH
+        row = self.shorter[self.row_of[at + 1]]
         while True:
             live = int(np.searchsorted(begins - at, 0, "right"))  # snippets are used up from the short end
             if not live:
                 return marks
-            begins, at, low, high = begins[:live], at[:live], low[:live], high[:live]
+            begins, at, row = begins[:live], at[:live], row[:live]
             sign = self.text[at].astype(np.int64)
-            low, high = self.below[sign] + self.rank(sign, low), self.below[sign] + self.rank(sign, high)
-            matched += 1
-            if matched >= LENGTH:
-                marks[at] = self.earliest[low] < self.places[at]
-                low, high = self.low[low], self.high[low]  # without the last byte: room for the next in front
+            row = self.below[sign] + self.rank(sign, row)
+            marks[at] = self.earliest[row] < self.places[at]
+            row = self.shorter[row]
             at = at - 1
 
 
@@ -260,7 +282,7 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for key, text, asked in zip(*(batch.column(c).to_pylist() for c in ("key", "text", "asked"))):
             raw = text.encode()
             for each in asked:
-                low, high = max(0, each["place"] - REACH), min(len(raw), each["place"] + LENGTH)
+                low, high = each["low"], each["high"]
                 pieces = [(each["anchor"], low, raw[low:high])]
                 if each["crowded"]:
                     pieces = [(int.from_bytes(hashlib.blake2b(raw[k:k + LENGTH], digest_size=8).digest(), "little", signed=True), k, raw[k:k + LENGTH])
@@ -286,10 +308,11 @@ def _removed(docs: DataFrame, group_snippets: int) -> DataFrame:
     rows = docs.select("key", "text").mapInArrow(_found, "anchor long, print long, key long, place long")
     met = stage(rows.repartition("anchor").sortWithinPartitions("anchor", "print", "key", "place")
                 .mapInArrow(_met, "key long, low long, high long, anchor long, asked boolean"))
-    asked = met.where("asked").select("key", F.col("low").alias("place"), "anchor")
+    asked = met.where("asked").select("key", "low", "high", "anchor")
     crowded = stage(asked.groupBy("anchor").count().where(F.col("count") > group_snippets).select("anchor", F.lit(True).alias("crowded")))
-    asked = asked.join(crowded, "anchor", "left").groupBy("key").agg(F.collect_list(F.struct("place", "anchor", F.coalesce("crowded", F.lit(False)).alias("crowded"))).alias("asked"))
-    snippets = docs.join(asked, "key").select("key", "text", "asked").mapInArrow(_cut, "anchor long, key long, start long, snippet binary")
+    asked = asked.join(crowded, "anchor", "left").groupBy("key").agg(F.collect_list(F.struct("low", "high", "anchor", F.coalesce("crowded", F.lit(False)).alias("crowded"))).alias("asked"))
+    # With all columns, so that both joins with the documents read one and the same shuffle of them.
+    snippets = docs.join(asked, "key").select("key", "doc_id", "text", "asked").mapInArrow(_cut, "anchor long, key long, start long, snippet binary")
     indexed = snippets.repartition("anchor").sortWithinPartitions("anchor", "snippet", "key", "start").mapInArrow(_indexed, "key long, low long, high long")
     return met.where("NOT asked").select("key", "low", "high").union(indexed).groupBy("key").agg(F.collect_list(F.struct("low", "high")).alias("spans"))
 
