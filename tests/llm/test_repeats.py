@@ -65,7 +65,8 @@ def test_given_documents(spark):
 
 
 def test_awkward_ids_are_ordered_by_id_and_text(spark):
-    text = "".join(random.Random(1).choice("abcdefgh ") for _ in range(300))
+    pick = random.Random(1)
+    text = "".join(pick.choice("abcdefgh ") for _ in range(300))
     rows = [(2, text), (1, text), (1, text), (None, text), (None, None)]
     got = repeats.report(cases.documents(spark, rows)).collect()
     assert sorted((r.doc_id or 0, r.n_bytes, r.n_removed) for r in got) == [(0, 0, 0), (0, 300, 0), (1, 300, 300), (1, 300, 300), (2, 300, 300)]
