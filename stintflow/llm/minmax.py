@@ -4,8 +4,8 @@
    pair at similarity 0.8 shares no band with probability (1 - 0.8^4)^24 = 3e-6.
 2. Documents with equal sets are one class; only its smallest document goes on.
 3. In every band bucket the members are compared with the bucket's smallest document on full shingle sets; the links found
-   give components. Members that are still apart from the smallest one's component are then compared with every other component's members
-   of their bucket, so no two members of a bucket stay uncompared unless they are connected already.
+   give components. The members of buckets that still hold several components then meet on the rare shingles of an exact
+   prefix filter, and the pairs left are compared, so no two members of a bucket stay undecided unless they are connected already.
 4. Components of all links name each class by the smallest document it reaches.
 
 Defined results: NULL, empty and blank texts have no shingles and are linked with nothing; a text with fewer words than a
@@ -17,7 +17,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window as W, functions as F
 
 from ..sources.shared import stage
 from . import flat
@@ -25,6 +25,7 @@ from .components import components
 
 WORDS, PERCENT = 5, 80
 BANDS, BAND_PERMUTATIONS = 24, 2
+SLOTS = 64  # classes of shingles that are counted to bound what two documents can share
 _MULTIPLIERS = flat.mixed(np.arange(1, BANDS * BAND_PERMUTATIONS + 1, dtype=np.uint64) * np.uint64(flat.WORD_BASE)) | np.uint64(1)
 
 
@@ -110,6 +111,48 @@ def _fit(percent: int):
     return 100 * F.least("size_a", "size_b") >= percent * F.greatest("size_a", "size_b")
 
 
+def _shingles(texts: DataFrame, words: int) -> DataFrame:
+    """``doc_id, part, size, shingle``: a row for each distinct shingle of ``texts(doc_id, text, part)``."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            data, bounds = flat.utf8(batch.column("text"))
+            for a, b in flat.chunks(bounds):
+                keys, owners, _ = shingle_sets(data[bounds[a]:bounds[b]], bounds[a:b + 1] - bounds[a], words)
+                sizes = np.bincount(owners, minlength=b - a)
+                at = pa.array(owners + a)
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id").take(at), batch.column("part").take(at), pa.array(sizes[owners]), pa.array(keys.view(np.int64))],
+                                                 ["doc_id", "part", "size", "shingle"])
+    key = texts.schema["doc_id"].dataType.simpleString()
+    return stage(texts.select("doc_id", "text", "part").mapInArrow(run, f"doc_id {key}, part {key}, size long, shingle long"))
+
+
+def _possible(rows: DataFrame, percent: int) -> DataFrame:
+    """Pairs ``(a, b)`` of documents in different parts that may be similar enough, by an exact prefix filter.
+
+    All shingles have one order: those that never occur in two parts first, then by rising frequency. Two similar documents
+    share a shingle among the first ``size - ceil(size * percent / 100) + 1`` of each, so a document whose
+    own edits fill that prefix has no partner, and the others meet on their rarest shared shingles only, if
+    their counts of shared shingles, class by class, leave room for the similarity.
+    """
+    shared = rows.groupBy("shingle").agg(F.count("*").alias("often"), F.min("part").alias("low"), F.max("part").alias("high")).where("low < high").drop("low", "high")
+    matched = stage(rows.join(shared, "shingle"))
+    own = W.partitionBy("doc_id")
+    ranked = matched.withColumn("place", F.row_number().over(own.orderBy("often", "shingle"))).withColumn("matched", F.count("*").over(own))
+    length = F.col("size") - F.ceil(F.col("size") * percent / 100) + 1
+    prefix = ranked.where(F.col("place") <= length - (F.col("size") - F.col("matched"))).select("doc_id", "part", "size", "matched", "shingle")
+    slots = matched.groupBy("doc_id", F.pmod("shingle", F.lit(SLOTS)).cast("int").alias("slot")).agg(F.count("*").cast("int").alias("n")) \
+        .groupBy("doc_id").agg(F.map_from_entries(F.collect_list(F.struct("slot", "n"))).alias("n_of")) \
+        .select("doc_id", F.transform(F.sequence(F.lit(0), F.lit(SLOTS - 1)), lambda k: F.coalesce(F.col("n_of")[k], F.lit(0))).alias("slots"))
+    prefix = stage(prefix.join(slots, "doc_id"))
+    left, right = (prefix.select("shingle", *[F.col(c).alias(f"{c}_{side}") for c in ("doc_id", "part", "size", "matched", "slots")]) for side in "ab")
+    # Only shingles that occur in two parts can be shared by a pair, in each slot as many as the poorer of the two has there.
+    needed = percent * (F.col("size_a") + F.col("size_b"))
+    some = F.least("matched_a", "matched_b") * (100 + percent) >= needed
+    enough = F.aggregate(F.zip_with("slots_a", "slots_b", lambda x, y: F.least(x, y)), F.lit(0), lambda x, y: x + y) * (100 + percent) >= needed
+    return left.join(right, "shingle").where("doc_id_a < doc_id_b AND part_a <> part_b").where(_fit(percent)).where(some).where(enough) \
+        .select(F.col("doc_id_a").alias("a"), F.col("doc_id_b").alias("b")).distinct()
+
+
 def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """One row per row of ``docs``: ``doc_id, n_shingles, component_id, kept``."""
     signed = stage(signatures(docs, words))
@@ -136,14 +179,10 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     found = components(links.union(joined))
 
     named = members.join(found.select(F.col("node").alias("doc_id"), "least"), "doc_id", "left") \
-        .select("band", "doc_id", "n_shingles", F.coalesce("least", "doc_id").alias("part"))
-    buckets = named.groupBy("band").agg(F.min("part").alias("low"), F.max("part").alias("high"), F.min(F.struct("doc_id", "part")).alias("head")) \
-        .where("low < high").select("band", F.col("head.doc_id").alias("centre"), F.col("head.part").alias("main"))
-    apart = stage(named.join(buckets, "band"))
-    lone = apart.where("part <> main AND doc_id <> centre").select("band", F.col("doc_id").alias("a"), F.col("part").alias("part_a"), F.col("n_shingles").alias("size_a"))
-    rest = apart.where("doc_id <> centre").select("band", F.col("doc_id").alias("b"), F.col("part").alias("part_b"), F.col("n_shingles").alias("size_b"), "main")
-    late = (lone.join(rest, "band").where("part_a <> part_b AND (part_b = main OR a < b)").where(_fit(percent))
-            .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+        .select("band", "doc_id", F.coalesce("least", "doc_id").alias("part"))
+    buckets = named.groupBy("band").agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low < high").select("band")
+    apart = named.join(buckets, "band").select("doc_id", "part").distinct()
+    late = _possible(_shingles(texts.join(apart, "doc_id"), words), percent)
     more = stage(confirmed(late, texts, words, percent))
     if more.take(1):
         found = components(links.union(joined).union(more))
