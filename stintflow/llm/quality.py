@@ -95,3 +95,23 @@ def keep_good(docs: DataFrame) -> DataFrame:
             if batch.num_rows:
                 yield batch.filter(pa.array(_measured(batch.column("text"))["kept"]))
     return docs.mapInArrow(passing, docs.schema)
+
+
+def statement(limits: dict[int, float] = NGRAM_LIMITS, line_limit: float = LINE_LIMIT) -> str:
+    """The same in SQL, on the table ``documents``."""
+    grams = ",\n".join(f"""again{n} AS (SELECT r, i FROM (SELECT r, i, array_to_string(w[i:i + {n - 1}], ' ') AS g FROM (SELECT r, w, unnest(range(1, len(w) - {n - 2})) AS i FROM docs))
+  QUALIFY count(*) OVER (PARTITION BY r, g) > 1),
+inside{n} AS (SELECT r, count(*) AS n_inside, sum(length(x)) AS chars FROM words JOIN (SELECT DISTINCT r, unnest(range(i, i + {n})) AS i FROM again{n}) USING (r, i) GROUP BY r)""" for n in limits)
+    dup = ", ".join(f"CAST(coalesce(inside{n}.chars, 0) AS BIGINT) AS dup_{n}gram_chars" for n in limits)
+    over = " OR ".join([f"dup_line_chars > {line_limit} * word_chars", *(f"dup_{n}gram_chars > {limit} * word_chars" for n, limit in limits.items())])
+    joins = " ".join(f"LEFT JOIN inside{n} USING (r)" for n in limits)
+    return rf'''WITH docs AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+words AS (SELECT r, unnest(w) AS x, unnest(range(1, len(w) + 1)) AS i FROM docs),
+lines AS (SELECT r, line, length(regexp_replace(line, '[\x20\x09-\x0D]', '', 'g')) AS chars, count(*) AS n FROM (SELECT r, unnest(string_split(t, chr(10))) AS line FROM docs) GROUP BY r, line),
+dup AS (SELECT r, sum(n - 1) AS n_dup, sum((n - 1) * chars) AS chars FROM lines WHERE chars > 0 GROUP BY r),
+{grams},
+counted AS (SELECT doc_id, len(w) AS n_words, length(regexp_replace(t, '[\x20\x09-\x0D]', '', 'g')) AS word_chars, length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS n_symbols,
+  CAST(coalesce(n_dup, 0) AS BIGINT) AS n_dup_lines, coalesce(inside5.n_inside, 0) AS n_repeat_words, CAST(coalesce(dup.chars, 0) AS BIGINT) AS dup_line_chars, {dup}
+  FROM docs LEFT JOIN dup USING (r) {joins})
+SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
+  NOT (n_words < 10 OR 100 * n_repeat_words > 20 * n_words OR {over}) AS kept FROM counted'''

@@ -48,9 +48,6 @@ def op5_licences(spark, sf_dir):
     return licences.scan(documents, licences.known(spark))
 
 
-STATEMENTS["op5_licences"] = licences.statement()
-
-
 @query
 def op6_length_histogram(spark, sf_dir):
     return lengths.suffix_sums(lengths.histogram(lengths.encoded_lengths(table(spark, sf_dir, "documents"))))
@@ -74,3 +71,8 @@ def op9_packing(spark, sf_dir):
 @query
 def op10_private(spark, sf_dir):
     return private.report(table(spark, sf_dir, "documents"))
+
+
+STATEMENTS["op3_decontamination"] = leaks.STATEMENT
+STATEMENTS["op5_licences"] = licences.statement()
+STATEMENTS["op7_repetition"] = quality.statement()
