@@ -10,7 +10,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-CHUNK_BYTES = 1 << 21
+CHUNK_BYTES = 1 << 20
 BASE, WORD_BASE = 0x9E3779B97F4A7C15, 0xD1342543DE82EF95
 SPACES = (0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D)
 

@@ -328,20 +328,29 @@ def merged(spans: list[tuple[int, int]], size: int) -> list[tuple[int, int]]:
     return out
 
 
+def _with_spans(docs: DataFrame, group_snippets: int) -> DataFrame:
+    """``doc_id, text, spans`` of every row; spans may overlap, and are NULL where nothing goes."""
+    keyed = _keyed(docs.select("doc_id", "text")).where("key IS NOT NULL")
+    return keyed.join(_removed(keyed, group_snippets), "key", "left").select("doc_id", "text", "spans")
+
+
+def _runs(batch: pa.RecordBatch) -> Iterator[tuple[bytes, list[tuple[int, int]]]]:
+    """Bytes and maximal removed runs of each row."""
+    for text, spans in zip(batch.column("text"), batch.column("spans").to_pylist()):
+        raw = (text.as_py() or "").encode()
+        yield raw, merged([(s["low"], s["high"]) for s in spans or []], len(raw))
+
+
 def removed_spans(docs: DataFrame, group_snippets: int = GROUP_SNIPPETS) -> DataFrame:
     """``doc_id, text, spans`` (start and end in bytes of the maximal removed runs, in order) of every row."""
-    keyed = _keyed(docs.select("doc_id", "text")).where("key IS NOT NULL")
     key = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = pa.list_(pa.struct([("low", pa.int64()), ("high", pa.int64())]))
         for batch in batches:
-            sizes = np.diff(flat.utf8(batch.column("text"))[1]).tolist()
-            spans = [merged([(s["low"], s["high"]) for s in own or []], size) for own, size in zip(batch.column("spans").to_pylist(), sizes)]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("text"), pa.array([[{"low": a, "high": b} for a, b in own] for own in spans], kind)],
-                                             ["doc_id", "text", "spans"])
-    return keyed.join(_removed(keyed, group_snippets), "key", "left").select("doc_id", "text", "spans") \
-        .mapInArrow(run, f"doc_id {key}, text string, spans array<struct<low:long,high:long>>")
+            spans = [[{"low": a, "high": b} for a, b in own] for _, own in _runs(batch)]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("text"), pa.array(spans, kind)], ["doc_id", "text", "spans"])
+    return _with_spans(docs, group_snippets).mapInArrow(run, f"doc_id {key}, text string, spans array<struct<low:long,high:long>>")
 
 
 def report(docs: DataFrame) -> DataFrame:
@@ -351,12 +360,11 @@ def report(docs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            for text, spans in zip(batch.column("text").to_pylist(), batch.column("spans").to_pylist()):
-                raw = (text or "").encode()
-                edges = [0, *(e for s in spans for e in (s["low"], s["high"])), len(raw)]
+            for raw, spans in _runs(batch):
+                edges = [0, *(e for span in spans for e in span), len(raw)]
                 kept = b"".join(raw[a:b] for a, b in zip(edges[::2], edges[1::2]))
                 rows.append((len(raw), len(raw) - len(kept), len(spans), hashlib.sha256(kept).hexdigest()))
             n_bytes, n_removed, n_spans, kept = zip(*rows) if rows else ((),) * 4
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *(pa.array(x, pa.int64()) for x in (n_bytes, n_removed, n_spans)), pa.array(kept, pa.string())],
                                              ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
-    return removed_spans(docs).mapInArrow(run, f"doc_id {key}, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    return _with_spans(docs, GROUP_SNIPPETS).mapInArrow(run, f"doc_id {key}, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
