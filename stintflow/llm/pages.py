@@ -1,15 +1,18 @@
 """Main text of web pages by nearest-URL differencing.
 
-Pages are ordered by path within their host, and each is paired with the neighbour whose path shares the longer beginning. The text lines of
-both are aligned by longest common subsequence, and lines that the pair shares are taken for the site's template and deleted. Markup says
-what needs no comparison: menus, page headers, footers, sidebars, notices, adverts, forms, scripts, styles and reader comments
-never count, and where a page marks its article, the article's own lines are safe (articles of one site may well share sentences).
+Pages are ordered by path within their host; pages with equal lines are copies and form one class. A page is compared with pages of other
+classes only, the nearest before and behind it, by longest common subsequence of their text lines:
 
-Only hashes of lines in doubt are sorted by URL; the texts stay where they are read.
+* A page that marks no article is compared with the one whose path shares the longer beginning. Lines that both share are
+  taken for the site's template and deleted.
+* Where a page marks its article (or main element), only lines inside are text, and they are safe (articles of one site may well share sentences).
 
-Defined results: NULL or empty html gives the empty text; a page without a neighbour on its host, and a page that would lose nearly
-everything to a copy of itself, keep their lines; a NULL url belongs to the host without name; repeated rows are pages like others. Pages at the edge of a sorted partition have
-one neighbour only.
+Markup says what needs no comparison: menus, page headers, footers, sidebars, notices, adverts, forms, scripts, styles and reader comments never count.
+
+Only hashes of lines are sorted by URL; the texts stay where they are read. Each sorted partition is given the nearest pages of those before
+and behind it, so the result does not depend on the number of partitions.
+
+Defined results: NULL or empty html gives the empty text; a page without a different page on its host keeps its lines; a NULL url belongs to the host without name; repeated rows are pages like others.
 """
 from __future__ import annotations
 
@@ -21,12 +24,13 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from ..sources.shared import stage
 
-# A page whose difference to its neighbour is less than this share of its characters is a copy, and keeps its lines.
-COPY_SHARE = 0.2
+# Pages of other classes that are looked at before and behind a page.
+WITNESSES = 1
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|svg|iframe|textarea|select)\b[^<>]*+>.*?(?:</\1\s*>|\Z)"
@@ -130,14 +134,20 @@ class _Reader:
         self.flush()
 
 
-def blocks(page: str | None) -> tuple[list[str], list[bool]]:
-    """Candidate lines of a page, and whether each is safe from differencing."""
+def _all_blocks(page: str | None) -> tuple[list[str], list[bool], bool]:
+    """Lines of a page, whether each may be text, and whether the page marks an article."""
     reader = _Reader()
     reader.feed(page or "")
-    if any(article for _, article, _ in reader.blocks):
-        return [t for t, article, _ in reader.blocks if article], [True for _, article, _ in reader.blocks if article]
-    kept = [t for t, _, linked in reader.blocks if linked < 0.8]
-    return kept, [False] * len(kept)
+    marked = any(article for _, article, _ in reader.blocks)
+    found = [b for b in reader.blocks if marked or b[2] < 0.8]
+    return [t for t, _, _ in found], [article or not marked for _, article, _ in found], marked
+
+
+def blocks(page: str | None) -> tuple[list[str], list[bool]]:
+    """Candidate lines of a page, and whether each lies in an article."""
+    lines, own, marked = _all_blocks(page)
+    kept = [t for t, may in zip(lines, own) if may]
+    return kept, [marked] * len(kept)
 
 
 def common(a: list[int], b: list[int]) -> list[int]:
@@ -163,68 +173,147 @@ def common(a: list[int], b: list[int]) -> list[int]:
     return out[::-1]
 
 
-def _doubtful(pages: DataFrame) -> DataFrame:
-    """``page_id, url, host, path, hashes, sizes`` of pages with lines in doubt."""
+_LINES = "host string, path string, digest long, class long, marked boolean, own array<boolean>, hashes array<long>, sizes array<long>"
+_NEAR = "struct<path:string,class:bigint,size:bigint,hashes:array<bigint>>"
+
+
+def _hashed(pages: DataFrame) -> DataFrame:
+    """``page_id`` and ``_LINES`` of pages with lines; copies on one host have one class."""
     key = pages.schema["page_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows, hashes, sizes, digests = [], [], [], []
-            for k, page in enumerate(batch.column("html")):
-                page = page.as_py()
-                lines, safe = blocks(page)
-                if lines and not all(safe):
+            rows, found = [], []
+            for k, (page, host) in enumerate(zip(batch.column("html").to_pylist(), batch.column("host").to_pylist())):
+                lines, own, marked = _all_blocks(page)
+                if any(own) and not marked:
                     rows.append(k)
-                    hashes.append([xxhash.xxh3_64_intdigest(line) - (1 << 63) for line in lines])
-                    sizes.append([len(line) for line in lines])
-                    digests.append(xxhash.xxh3_64_intdigest(page) - (1 << 63))
+                    hashes = [_hash(line) for line in lines]
+                    found.append((_hash(page), _hash(f"{host} {hashes}"), marked, own, hashes, [len(line) for line in lines]))
             at = pa.array(rows, pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column(c).take(at) for c in ("page_id", "host", "path")]
-                                             + [pa.array(digests, pa.int64()), pa.array(hashes, pa.list_(pa.int64())), pa.array(sizes, pa.list_(pa.int64()))],
-                                             ["page_id", "host", "path", "digest", "hashes", "sizes"])
+            types = (pa.int64(), pa.int64(), pa.bool_(), pa.list_(pa.bool_()), pa.list_(pa.int64()), pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([batch.column(c).take(at) for c in ("page_id", "host", "path")] + [pa.array([f[k] for f in found], t) for k, t in enumerate(types)],
+                                             ["page_id", "host", "path", "digest", "class", "marked", "own", "hashes", "sizes"])
     url = F.coalesce("url", F.lit(""))
     placed = pages.select("page_id", "html", F.lower(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)", 1)).alias("host"),
                           F.regexp_extract(url, r"^(?:[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)?([^?#]*)", 1).alias("path"))
-    return placed.mapInArrow(run, f"page_id {key}, host string, path string, digest long, hashes array<long>, sizes array<long>")
+    return placed.mapInArrow(run, f"page_id {key}, {_LINES}")
+
+
+def _hash(text: str | None) -> int:
+    return xxhash.xxh3_64_intdigest(text or "") - (1 << 63)
+
+
+def _classes(rows: list[dict]) -> list[dict]:
+    """The first row of each class."""
+    seen: set[int] = set()
+    return [row for row in rows if not (row["class"] in seen or seen.add(row["class"]))]
+
 
+def _others(page: dict, rows: list[dict]) -> list[dict]:
+    return [row for row in rows if row["class"] != page["class"]][:WITNESSES]
 
-def _shared_lines(doubtful: DataFrame) -> DataFrame:
-    """``page_id, digest, deleted`` (hashes of shared lines) of the pages that lose lines to their neighbour."""
-    key = doubtful.schema["page_id"].dataType.simpleString()
 
-    def lost(page: dict, before: dict | None, after: dict | None) -> list[int]:
-        near = [n for n in (before, after) if n and n["host"] == page["host"]]
+def lost(page: dict, before: list[dict], after: list[dict]) -> list[int]:
+    """Hashes of the template's lines, given the pages of other classes on the host, nearest first."""
+    hashes = page["hashes"]
+    if not page["marked"]:
+        near = before[:1] + after[:1]
         if not near:
             return []
         other = max(near, key=lambda n: len(os.path.commonprefix([n["path"], page["path"]])))
-        places = common(page["hashes"], other["hashes"])
-        total, shared = sum(page["sizes"]), sum(page["sizes"][k] for k in places)
-        return sorted({page["hashes"][k] for k in places}) if total - shared >= COPY_SHARE * total else []
+        return sorted({hashes[k] for k in common(hashes, other["hashes"])})
+    return []  # lines of an article are safe
+
+
+def _ordered(hashed: DataFrame) -> DataFrame:
+    """The rows by URL with ``part``, ``place`` and ``before`` (the nearest earlier pages of the part), and for each part one row of place -1
+    whose ``first`` and ``last`` are the places of its pages that other parts may need, nearest to its ends first."""
+    key = hashed.schema["page_id"].dataType.simpleString()
+    schema = f"page_id {key}, {_LINES}, part int, place long, before array<{_NEAR}>, first array<struct<place:bigint,class:bigint>>, last array<struct<place:bigint,class:bigint>>"
+    end = pa.list_(pa.struct([("place", pa.int64()), ("class", pa.int64())]))
+    near = pa.list_(pa.struct([("path", pa.string()), ("class", pa.int64()), ("size", pa.int64()), ("hashes", pa.list_(pa.int64()))]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def rows():
-            for batch in batches:
-                yield from batch.to_pylist()
-            yield None
-        before = page = None
-        out = []
-        for after in rows():
-            if page is not None and (deleted := lost(page, before, after)):
-                out.append((page["page_id"], page["digest"], deleted))
-            before, page = page, after
-            if out and (after is None or len(out) == 1000):
+        part, place, host, recent, first, last, given = TaskContext.get().partitionId(), 0, None, [], [], [], None
+        for batch in batches:
+            given, found, start = batch.schema, [], place
+            for page in batch.select(["host", "path", "class", "own", "hashes", "sizes"]).to_pylist():
+                if page["host"] != host:
+                    host, recent = page["host"], []
+                page["size"] = sum(n for n, own in zip(page["sizes"], page["own"]) if own)
+                found.append(_others(page, recent))
+                recent = _classes([page, *recent])[:WITNESSES + 1]
+                here = {"place": place, "class": page["class"]}
+                last = _classes([here, *last])[:WITNESSES + 1]
+                if len(first) <= WITNESSES:
+                    first = _classes([*first, here])
+                place += 1
+            count = place - start
+            more = [pa.array([part] * count, pa.int32()), pa.array(range(start, place), pa.int64()), pa.array(found, near), pa.nulls(count, end), pa.nulls(count, end)]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *more], [*given.names, "part", "place", "before", "first", "last"])
+        if given:
+            more = [pa.array([part], pa.int32()), pa.array([-1], pa.int64()), pa.nulls(1, near), pa.array([first], end), pa.array([last], end)]
+            yield pa.RecordBatch.from_arrays([*(pa.nulls(1, f.type) for f in given), *more], [*given.names, "part", "place", "before", "first", "last"])
+    order = ("host", "path", "page_id", "digest")
+    return hashed.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(run, schema)
+
+
+def _across(ordered: DataFrame) -> DataFrame:
+    """The rows, and for each part (``side`` 1 and 2) the nearest pages before and behind it, in the order of ``turn``: those first, then the part from its end."""
+    ends = sorted(ordered.where("place < 0").select("part", "first", "last").collect())
+    wanted = []
+    for side, parts in ((1, ends), (2, ends[::-1])):
+        near: list[dict] = []
+        for end in parts:
+            wanted += [(end["part"], side, turn, page["part"], page["place"]) for turn, page in enumerate(near)]
+            near = _classes([{"part": end["part"], **page.asDict()} for page in end["last" if side == 1 else "first"]] + near)[:WITNESSES + 1]
+    rows = ordered.where("place >= 0").drop("first", "last")
+    columns = [c for c in rows.columns if c not in ("part", "place")]
+    own = rows.select("part", F.lit(0).alias("side"), (-F.col("place")).alias("turn"), *columns)
+    if not wanted:
+        return own
+    asked = ordered.sparkSession.createDataFrame(wanted, "to int, side int, turn long, part int, place long")
+    given = rows.join(asked, ["part", "place"]).select(F.col("to").alias("part"), "side", (F.col("turn") - (1 << 62)).alias("turn"), *columns)
+    return own.unionByName(given)
+
+
+def _shared_lines(hashed: DataFrame) -> DataFrame:
+    """``page_id, digest, deleted`` (hashes of template lines) of the pages that lose lines."""
+    key = hashed.schema["page_id"].dataType.simpleString()
+    schema_id = pa.int64() if key == "bigint" else pa.int32() if key == "int" else pa.string()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part = host = None
+        recent, ends = [], {1: [], 2: []}
+        for batch in batches:
+            out = []
+            for page in batch.to_pylist():
+                if page["part"] != part:
+                    part, host, recent, ends = page["part"], None, [], {1: [], 2: []}
+                page["size"] = sum(n for n, own in zip(page["sizes"], page["own"]) if own)
+                if page["side"]:
+                    ends[page["side"]].append(page)
+                    continue
+                if page["host"] != host:
+                    host, recent = page["host"], []
+                before, after = ([n for n in ends[side] if n["host"] == host] for side in (1, 2))
+                deleted = lost(page, _others(page, _classes(page["before"] + before)), _others(page, _classes(recent + after)))
+                if deleted:
+                    out.append((page["page_id"], page["digest"], deleted))
+                del page["before"]
+                recent = _classes([page, *recent])[:WITNESSES + 1]
+            if out:
                 ids, digests, deleted = zip(*out)
                 yield pa.RecordBatch.from_arrays([pa.array(ids, schema_id), pa.array(digests, pa.int64()), pa.array(deleted, pa.list_(pa.int64()))],
                                                  ["page_id", "digest", "deleted"])
-                out = []
-    schema_id = pa.int64() if key == "bigint" else pa.int32() if key == "int" else pa.string()
-    ordered = doubtful.repartitionByRange("host", "path", "page_id", "digest").sortWithinPartitions("host", "path", "page_id", "digest")
-    return ordered.mapInArrow(run, f"page_id {key}, digest long, deleted array<long>")
+    rows = _across(stage(_ordered(hashed)))
+    return rows.repartitionByRange("part").sortWithinPartitions("part", "turn").mapInArrow(run, f"page_id {key}, digest long, deleted array<long>")
 
 
 def extract(pages: DataFrame) -> DataFrame:
     """``page_id, url, text, n_chars`` of every row."""
-    deleted = stage(_shared_lines(stage(_doubtful(pages.select("page_id", "url", "html")))))
+    deleted = stage(_shared_lines(stage(_hashed(pages.select("page_id", "url", "html")))))
     key = pages.schema["page_id"].dataType.simpleString()
     if not deleted.take(1):
         rows = pages.select("page_id", "url", "html", F.lit(None).cast("array<array<bigint>>").alias("deleted"))
@@ -239,9 +328,9 @@ def extract(pages: DataFrame) -> DataFrame:
                 page, gone = page.as_py(), gone.as_py()
                 lines, _ = blocks(page)
                 if gone:
-                    digest = xxhash.xxh3_64_intdigest(page or "") - (1 << 63)
+                    digest = _hash(page)
                     hashes = {h for own, *rest in gone if own == digest for h in rest}
-                    lines = [x for x in lines if xxhash.xxh3_64_intdigest(x) - (1 << 63) not in hashes]
+                    lines = [x for x in lines if _hash(x) not in hashes]
                 texts.append("\n".join(lines))
             yield pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())],
                                              ["page_id", "url", "text", "n_chars"])

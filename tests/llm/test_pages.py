@@ -62,3 +62,32 @@ def test_lines_shared_with_the_neighbour_go(spark):
     assert got[50] == got[52] == "" and got[51] == "Home of things\nonly page here\nImprint and terms"
     assert got[53] == got[54] == "Home of things\nsame\nImprint and terms"
     assert pages.extract(table.limit(0)).collect() == []
+
+
+def texts(spark, rows, parts=1):
+    table = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(parts)
+    return {r.page_id: r.text for r in pages.extract(table).collect()}
+
+
+def plain(body):
+    return f"<body><div>Home of many things and of all their makers</div><div>{body}</div><p>Imprint, terms and everything else that is said everywhere</p></body>"
+
+
+def test_copies_are_compared_with_the_nearest_other_page(spark):
+    rows = [(n, f"http://h.org/a/{n}", plain("one")) for n in range(3)] + [(3, "http://h.org/a/3", plain("another")), (4, "http://h.org/b", plain("one"))]
+    assert texts(spark, rows) == {0: "one", 1: "one", 2: "one", 3: "another", 4: "one"}
+
+
+def test_the_number_of_partitions_changes_nothing(spark):
+    rows = [(n, f"http://h{n // 7}.org/a/{n:02}", plain(f"text {n // 3 % 3 if n % 2 else n}")) for n in range(40)]
+    was, found = spark.conf.get("spark.sql.shuffle.partitions"), []
+    try:
+        for count in ("1", "5", "60"):
+            spark.conf.set("spark.sql.shuffle.partitions", count)
+            spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+            found.append(texts(spark, rows, 3))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", was)
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert found[0] == found[1] == found[2]
+    assert all("Imprint" not in text for text in found[0].values())
