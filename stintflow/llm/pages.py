@@ -3,16 +3,18 @@
 Pages are ordered by path within their host; pages with equal lines are copies and form one class. A page is compared with pages of other
 classes only, the nearest before and behind it, by longest common subsequence of their text lines:
 
-* A page that marks no article is compared with the one whose path shares the longer beginning. Lines that both share are
-  taken for the site's template and deleted.
-* Where a page marks its article (or main element), only lines inside are text, and they are safe (articles of one site may well share sentences).
+* A page that marks no article is compared with the one whose path shares the longer beginning. Lines that both share, blocks of links among
+  them, are taken for the site's template and deleted.
+* Where a page marks its article (or main element), only lines inside are text. Articles of one site may well share sentences, so such a line is
+  deleted only if all of the ``WITNESSES`` nearest pages share it, versions of the same article not counted.
 
 Markup says what needs no comparison: menus, page headers, footers, sidebars, notices, adverts, forms, scripts, styles and reader comments never count.
 
 Only hashes of lines are sorted by URL; the texts stay where they are read. Each sorted partition is given the nearest pages of those before
 and behind it, so the result does not depend on the number of partitions.
 
-Defined results: NULL or empty html gives the empty text; a page without a different page on its host keeps its lines; a NULL url belongs to the host without name; repeated rows are pages like others.
+Defined results: NULL or empty html gives the empty text; a page without a different page on its host keeps its lines, and one inside an
+article if there are fewer than ``FEWEST`` witnesses; a NULL url belongs to the host without name; repeated rows are pages like others.
 """
 from __future__ import annotations
 
@@ -29,8 +31,8 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..sources.shared import stage
 
-# Pages of other classes that are looked at before and behind a page.
-WITNESSES = 1
+# Nearest pages that must all share a line of an article, and how many of them there must be at least.
+WITNESSES, FEWEST = 4, 3
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|svg|iframe|textarea|select)\b[^<>]*+>.*?(?:</\1\s*>|\Z)"
@@ -139,8 +141,7 @@ def _all_blocks(page: str | None) -> tuple[list[str], list[bool], bool]:
     reader = _Reader()
     reader.feed(page or "")
     marked = any(article for _, article, _ in reader.blocks)
-    found = [b for b in reader.blocks if marked or b[2] < 0.8]
-    return [t for t, _, _ in found], [article or not marked for _, article, _ in found], marked
+    return [t for t, _, _ in reader.blocks], [article or not marked for _, article, _ in reader.blocks], marked
 
 
 def blocks(page: str | None) -> tuple[list[str], list[bool]]:
@@ -186,7 +187,7 @@ def _hashed(pages: DataFrame) -> DataFrame:
             rows, found = [], []
             for k, (page, host) in enumerate(zip(batch.column("html").to_pylist(), batch.column("host").to_pylist())):
                 lines, own, marked = _all_blocks(page)
-                if any(own) and not marked:
+                if any(own):
                     rows.append(k)
                     hashes = [_hash(line) for line in lines]
                     found.append((_hash(page), _hash(f"{host} {hashes}"), marked, own, hashes, [len(line) for line in lines]))
@@ -223,7 +224,18 @@ def lost(page: dict, before: list[dict], after: list[dict]) -> list[int]:
             return []
         other = max(near, key=lambda n: len(os.path.commonprefix([n["path"], page["path"]])))
         return sorted({hashes[k] for k in common(hashes, other["hashes"])})
-    return []  # lines of an article are safe
+    shared, witnesses = {h for h, own in zip(hashes, page["own"]) if own}, 0
+    for other in _classes([n for k in range(WITNESSES) for n in before[k:k + 1] + after[k:k + 1]]):
+        if witnesses == WITNESSES or shared.isdisjoint(other["hashes"]):
+            break
+        places = [k for k in common(hashes, other["hashes"]) if page["own"][k]]
+        if 2 * sum(page["sizes"][k] for k in places) > max(page["size"], other["size"]):
+            continue  # a version of the same article
+        witnesses += 1
+        shared &= {hashes[k] for k in places}
+    else:
+        return sorted(shared) if witnesses >= FEWEST else []
+    return sorted(shared) if witnesses == WITNESSES else []
 
 
 def _ordered(hashed: DataFrame) -> DataFrame:

@@ -80,6 +80,7 @@ def test_copies_are_compared_with_the_nearest_other_page(spark):
 
 def test_the_number_of_partitions_changes_nothing(spark):
     rows = [(n, f"http://h{n // 7}.org/a/{n:02}", plain(f"text {n // 3 % 3 if n % 2 else n}")) for n in range(40)]
+    rows += [(100 + n, f"http://m.org/{n:02}", f"<main><p>You are here: home</p><p>Long and own words number {n // 2} of many</main>") for n in range(14)]
     was, found = spark.conf.get("spark.sql.shuffle.partitions"), []
     try:
         for count in ("1", "5", "60"):
@@ -90,4 +91,22 @@ def test_the_number_of_partitions_changes_nothing(spark):
         spark.conf.set("spark.sql.shuffle.partitions", was)
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
     assert found[0] == found[1] == found[2]
-    assert all("Imprint" not in text for text in found[0].values())
+    assert all("Imprint" not in text and "here" not in text for text in found[0].values())
+
+
+def test_template_lines_in_a_page_wide_main_go_and_shared_sentences_stay(spark):
+    page = lambda n: f"<main><p>You are here: home</p><p>Own words of page {n}, which are many and long</p>{'<p>A sentence of two</p>' if n in (3, 4) else ''}<p>Note: closed today</main>"
+    got = texts(spark, [(n, f"http://m.org/{n}", page(n)) for n in range(8)])
+    assert got == {n: f"Own words of page {n}, which are many and long" + ("\nA sentence of two" if n in (3, 4) else "") for n in range(8)}
+    few = texts(spark, [(n, f"http://m.org/{n}", page(n)) for n in range(3)])
+    assert all(text.startswith("You are here") for text in few.values())
+
+
+def test_versions_of_an_article_do_not_delete_it(spark):
+    rows = [(n, f"http://v.org/{n}", f"<article><p>{'The same long story. ' * 9}</p><p>Version {n}</article>") for n in range(9)]
+    assert all(text.startswith("The same long story.") for text in texts(spark, rows).values())
+
+
+def test_linked_blocks_are_compared(spark):
+    rows = [(n, f"http://l.org/{n}", f"<div><a href=/>Home and all the rest</a></div><p>Body {n}</p><p><a href=x>Source of page {n}</a></p>") for n in range(4)]
+    assert texts(spark, rows) == {n: f"Body {n}\nSource of page {n}" for n in range(4)}
