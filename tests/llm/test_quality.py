@@ -37,3 +37,14 @@ def test_against_brute_force(spark, name):
     assert got == sorted(((key, *brute(text)) for key, text in rows), key=repr)
     kept = quality.keep_good(docs)
     assert kept.columns == docs.columns and kept.count() == sum(g[-1] for g in got)
+
+
+def test_texts_that_only_the_method_rejects(spark):
+    fresh = lambda n, start=0: [f"w{k:04}" for k in range(start, start + n)]
+    phrases = [w for k in range(0, 25, 5) for w in fresh(5, k) + fresh(8, 100 + 10 * k) + fresh(5, k) + fresh(8, 1000 + 10 * k)]
+    rows = [(1, fresh(17) + fresh(150, 100) + fresh(17)), (2, fresh(12) + fresh(180, 100) + fresh(12)), (3, phrases + fresh(150, 3000)), (4, phrases + fresh(290, 3000))]
+    got = {r.doc_id: r for r in quality.repetition(cases.documents(spark, [(key, " ".join(words)) for key, words in rows])).collect()}
+    assert not any(r.base_failed for r in got.values())
+    # Two copies of 17 words, two copies of 12 (only the limit of 10 words is passed), many phrases of five words, and fewer of them.
+    assert {key: r.kept for key, r in got.items()} == {1: False, 2: False, 3: False, 4: True}
+    assert got[2].dup_5gram_chars < 0.13 * got[2].word_chars and got[3].dup_7gram_chars == 0
