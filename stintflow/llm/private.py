@@ -4,6 +4,10 @@ Built-in functions only. A pattern's matches come from ``regexp_extract_all`` an
 of all matches are running sums of lengths. The patterns are possessive and start only where a match can start, so
 the search is linear in the text.
 
+An account number of a registered country has that country's length, written in one piece or in groups of four, so what follows it is not taken
+for a part of it; other country codes take the longest form. Context is the 40 characters of the whole text before and after a span, other spans
+included, and holds for a whole list: spans of a kind with nothing but separators between them share it.
+
 Defined results: a NULL text is empty; repeated rows are searched one by one; all other columns are ignored (``find``) or kept (``masked``).
 """
 from __future__ import annotations
@@ -26,13 +30,31 @@ class Kind:
     base: bool = True
 
 
+# Lengths of account numbers by country (ISO 13616).
+IBAN_LENGTHS = {15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV", 22: "BG BH CR DE GB GE IE ME RS VA",
+                23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM",
+                28: "AL AZ BY CY DO GT HN HU LB NI PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU"}
+
+
+def _iban_pattern() -> str:
+    def form(length: int, countries: str) -> str:
+        groups, rest = divmod(length - 4, 4)
+        spaced = f"(?: [A-Z0-9]{{4}}){{{groups}}}" + (f" [A-Z0-9]{{{rest}}}" if rest else "")
+        return f"(?:{countries.replace(' ', '|')})[0-9]{{2}}(?:[A-Z0-9]{{{length - 4}}}|{spaced})(?![A-Za-z0-9])"
+    registered = "|".join(" ".join(IBAN_LENGTHS.values()).split())
+    other = rf"[A-Z]{{2}}[0-9]{{2}}(?:[A-Z0-9]{{11,30}}+|(?: (?!(?:{registered})[0-9]{{2}})[A-Z0-9]{{4}}){{2,7}}+(?: [A-Z0-9]{{1,3}})?+)(?![A-Za-z0-9])"
+    return "(?<![A-Za-z0-9])(?:" + "|".join(form(n, c) for n, c in IBAN_LENGTHS.items()) + f"|{other})"
+
+
+# What may stand between the spans of a list.
+LISTED = r"^[\s,;/|&]*(?:(?:and|or|und|oder|et|ou|y|o)\b[\s,;/|&]*)?$"
+
 KINDS = (
     Kind("email", r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++", "@", 0.9, "mail|contact|write to"),
     Kind("ip", r"(?:\G|(?<![0-9]))[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++", r"[0-9]\.[0-9]++\.[0-9]", 0.6, "ip|address|host|server"),
     Kind("card", r"[0-9](?:[ -]?+[0-9]){13,}+", r"[0-9](?:[ -]?+[0-9]){13}", 0.8, "card|visa|credit|payment"),
     Kind("phone", r"\+[0-9][ ().0-9-]+[0-9]", "+", 0.7, "phone|tel|call|mobile|fax"),
-    Kind("iban", r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:[A-Z0-9]{11,30}+|(?: [A-Z0-9]{4}){2,7}+(?: [A-Z0-9]{1,3})?+)(?![A-Za-z0-9])", r"[A-Z]{2}[0-9]{2}[ A-Z0-9]{11}", 0.6,
-         "iban|account|bank|transfer|konto", False),
+    Kind("iban", _iban_pattern(), r"[A-Z]{2}[0-9]{2}[ A-Z0-9]{11}", 0.6, "iban|account|bank|transfer|konto", False),
     Kind("ssn", r"(?<![0-9A-Za-z-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9A-Za-z-])", r"[0-9]{3}-[0-9]{2}-[0-9]{4}", 0.3, "ssn|social security|tax id", False),
 )
 
@@ -68,18 +90,36 @@ def _valid(kind: str, match: Column) -> Column:
     return F.lit(True)
 
 
+def _named(kind: Kind, matches: Column, gaps: Column, before: bool) -> Column:
+    """For each match whether a context word stands before it (or behind it, with both arrays reversed), or at the other matches of its list: an array of 0 and 1."""
+    def edge(text: Column) -> Column:
+        return F.substring(text, -CONTEXT_CHARS, CONTEXT_CHARS) if before else F.substring(text, 1, CONTEXT_CHARS)
+
+    def joined(near: Column, text: Column) -> Column:
+        return edge(F.concat(near, edge(text)) if before else F.concat(edge(text), near))
+
+    def step(state, pair):
+        near = joined(state["near"], pair["gap"])
+        carried = state["said"].endswith("1") & (F.length(pair["gap"]) <= CONTEXT_CHARS) & pair["gap"].rlike(LISTED)
+        word = F.lower(near).rlike(rf"\b(?:{kind.context})")
+        return F.struct(joined(near, pair["match"]).alias("near"), F.concat(state["said"], F.when(word | carried, "1").otherwise("0")).alias("said"))
+
+    pairs = F.zip_with(matches, F.slice(gaps, 1, F.size(matches)), lambda m, g: F.struct(m.alias("match"), g.alias("gap")))
+    return F.aggregate(pairs, F.struct(F.lit("").alias("near"), F.lit("").alias("said")), step, lambda state: F.split(state["said"], "(?!^)(?!$)"))
+
+
 def _spans(kind: Kind, order: int) -> Column:
     """Confirmed spans from the columns ``_m`` (matches) and ``_g`` (gaps) of a kind."""
     matches, gaps = F.col(f"_m{order}"), F.col(f"_g{order}")
-    near = F.zip_with(F.slice(gaps, 1, F.size(matches)), F.slice(gaps, 2, F.size(matches)),
-                      lambda a, b: F.struct(F.length(a).alias("gap"), F.lower(F.concat_ws(" ", F.substring(a, -CONTEXT_CHARS, CONTEXT_CHARS), F.substring(b, 1, CONTEXT_CHARS))).alias("near")))
+    said = F.zip_with(_named(kind, matches, gaps, True), F.reverse(_named(kind, F.reverse(matches), F.reverse(gaps), False)), lambda a, b: (a == "1") | (b == "1"))
+    near = F.zip_with(F.slice(gaps, 1, F.size(matches)), said, lambda gap, named: F.struct(F.length(gap).alias("gap"), named.alias("named")))
     empty = F.lit(None).cast("struct<at:int,found:array<struct<start:int,ord:int,end:int,kind:string,score:double>>>")
     begin = F.coalesce(empty, F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,ord:int,end:int,kind:string,score:double>>").alias("found")))
 
     def step(state, pair):
         start = state["at"] + pair["around"]["gap"]
         end = start + F.length(pair["match"])
-        score = F.lit(kind.score) + F.when(pair["around"]["near"].rlike(rf"\b(?:{kind.context})"), CONTEXT_GAIN).otherwise(0.0)
+        score = F.lit(kind.score) + F.when(pair["around"]["named"], CONTEXT_GAIN).otherwise(0.0)
         good = _valid(kind.name, pair["match"])
         if not kind.base:
             good = good & (score >= ACCEPTED)

@@ -60,3 +60,30 @@ def test_no_python_in_the_plan(spark):
     docs = spark.read.parquet(f"{cases.SMALL}/documents.parquet")
     for df in (private.report(docs), private.masked(docs)):
         assert not re.search("Python|Pandas|Arrow", df._jdf.queryExecution().executedPlan().toString())
+
+
+def spans(spark, text, kind):
+    return [text[s.start:s.end] for s in private.find(cases.documents(spark, [(1, text)])).first().spans if s.kind == kind]
+
+
+def test_account_numbers_before_capitals_codes_and_each_other(spark):
+    def account(country, body):
+        number = int("".join(str(int(c, 36)) for c in body + country + "00"))
+        plain = f"{country}{98 - number % 97:02}{body}"
+        return " ".join(plain[k:k + 4] for k in range(0, len(plain), 4))
+    spaced = ["ES91 2100 0418 4502 0005 1332", *(account(c, "123456789012345678901234567"[:n - 4]) for n, names in private.IBAN_LENGTHS.items() for c in names.split()[:1])]
+    for behind in ("Please", "BIC X", "OK", "I", "ABCD", "GB82 WEST 1234 5698 7654 32", "."):
+        text = "; ".join(f"{number} {behind}" for number in spaced)
+        assert [x for x in spans(spark, text, "iban") if x in spaced] == spaced
+    assert spans(spark, "ref AB12 CDEF 1234 ES91 2100 0418 4502 0005 1332", "iban") == spaced[:1]
+    assert spans(spark, "ES91 2100 0418 4502 0005 1333 Please", "iban") == []
+
+
+def test_context_holds_for_a_list(spark):
+    numbers = ["123-45-6789", "223-45-6789", "323-45-6789", "423-45-6789", "523-45-6789", "623-45-6789"]
+    listed = ", ".join(numbers[:-1]) + " and " + numbers[-1]
+    assert spans(spark, "SSN: " + listed, "ssn") == spans(spark, listed + " are their tax ids; tax id", "ssn") == numbers
+    assert spans(spark, f"SSN {numbers[0]} x {numbers[1]} y {numbers[2]} far away from it {numbers[3]}", "ssn") == numbers[:3]
+    assert spans(spark, listed, "ssn") == []
+    docs = cases.documents(spark, [(1, "SSN: 123-45-6789, 223-45-6789, 323-45-6789")])
+    assert private.masked(docs).first().text == "SSN: [SSN], [SSN], [SSN]"
