@@ -18,3 +18,32 @@ def test_canonical_in_python_and_spark_agree(spark):
         assert d.digest == hashlib.sha256(licences.canonical_text(r.text).encode()).hexdigest()
     assert licences.scan(cases.awkward(spark), licences.known(spark)).count() == 7
     assert licences.scan(cases.empty(spark), licences.known(spark)).collect() == []
+
+
+ZLIB = """zlib License
+
+(C) 2020 Somebody
+
+This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of this software.
+
+Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions:
+
+1. The origin of this software must not be misrepresented; you must not claim that you wrote the original software. If you use this software in a product, an acknowledgment in the product documentation would be appreciated but is not required.
+
+2. Altered source versions must be plainly marked as such, and must not be misrepresented as being the original software.
+
+3. This notice may not be removed or altered from any source distribution.
+"""
+
+
+def test_whole_texts(spark):
+    from pathlib import Path
+    folder = Path("/usr/share/common-licenses")
+    names = {"Apache-2.0": "Apache-2.0", "GPL-1": "GPL-1.0", "GPL-2": "GPL-2.0", "GPL-3": "GPL-3.0", "LGPL-2": "LGPL-2.0", "LGPL-2.1": "LGPL-2.1", "LGPL-3": "LGPL-3.0",
+             "MPL-1.1": "MPL-1.1", "MPL-2.0": "MPL-2.0", "CC0-1.0": "CC0-1.0", "GFDL-1.3": "GFDL-1.3", "Artistic": "Artistic-1.0-Perl", "BSD": "BSD-3-Clause"}
+    found = {file: (folder / file).read_text() for file in names if (folder / file).exists()}
+    rows = [("Zlib", ZLIB), ("Zlib", ZLIB.partition("\n")[2].upper())] + [(names[file], text) for file, text in found.items()]
+    rows += [(names[file], found[file].partition("END OF TERMS")[0].replace("\n", "  \n")) for file in ("Apache-2.0", "GPL-2", "GPL-3") if file in found]
+    rows += [(None, text[:-200]) for text in found.values()]
+    got = {r.doc_id: r.licence for r in licences.scan(cases.documents(spark, [(k, text) for k, (_, text) in enumerate(rows)]), licences.known(spark)).collect()}
+    assert got == {k: name for k, (name, _) in enumerate(rows)}
