@@ -5,7 +5,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import language, leaks, lengths, licences, minmax, negatives, packing, pages, private, quality, repeats
+from . import language, leaks, lengths, licences, manifest, minmax, negatives, packing, pages, private, quality, repeats
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -73,6 +73,11 @@ def op10_private(spark, sf_dir):
     return private.report(table(spark, sf_dir, "documents"))
 
 
+@query
+def op11_manifest(spark, sf_dir):
+    return manifest.proofs(manifest.leaves_of(table(spark, sf_dir, "documents"), manifest.tampered()), siblings=False)
+
+
 @query
 def op13_hard_negatives(spark, sf_dir):
     rows = negatives.relabelled(table(spark, sf_dir, "embeddings"))
@@ -83,3 +88,4 @@ STATEMENTS["op3_decontamination"] = leaks.STATEMENT
 STATEMENTS["op5_licences"] = licences.statement()
 STATEMENTS["op7_repetition"] = quality.statement()
 STATEMENTS["op13_hard_negatives"] = negatives.STATEMENT
+STATEMENTS["op11_manifest"] = manifest.statement()
