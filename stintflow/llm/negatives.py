@@ -116,6 +116,7 @@ class _Search:
         self.ids, self.labels, self.moduli, self.kept, self.same = ids, labels, moduli, kept, same
         self.vectors, self.low, self.high = vectors, low, high
         self.windows = 1 if low is None else low.shape[1]
+        self.row_tile, self.anchor_tile = ROW_TILE, ANCHOR_TILE
 
     def begin(self) -> None:
         self.parts = residues(self.vectors, self.moduli)
@@ -128,8 +129,8 @@ class _Search:
         while len(ids):  # one turn, unless a vec_id occurs repeatedly
             first = np.ones(len(ids), bool)
             first[1:] = ids[1:] != ids[:-1]
-            for a in range(0, int(first.sum()), ROW_TILE):
-                part = np.flatnonzero(first)[a:a + ROW_TILE]
+            for a in range(0, int(first.sum()), self.row_tile):
+                part = np.flatnonzero(first)[a:a + self.row_tile]
                 self._tile(ids[part], labels[part], residues(matrix[part], self.moduli))
             again = ~first
             again[1:] &= ~((labels[1:] == labels[:-1]) & (matrix[1:] == matrix[:-1]).all(axis=1))  # equal rows are one
@@ -138,8 +139,8 @@ class _Search:
     def _tile(self, ids: np.ndarray, labels: np.ndarray, parts: list[np.ndarray]) -> None:
         count = len(ids)
         places = np.arange(count - 1, -1, -1)
-        for a in range(0, len(self.ids), ANCHOR_TILE):
-            here = slice(a, a + ANCHOR_TILE)
+        for a in range(0, len(self.ids), self.anchor_tile):
+            here = slice(a, a + self.anchor_tile)
             scores = products([p[here] for p in self.parts], parts, self.moduli)
             fits = self.labels[here, None] == labels
             fits = fits & (self.ids[here, None] != ids) if self.same else ~fits
