@@ -5,7 +5,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import language, leaks, lengths, licences, manifest, minmax, negatives, packing, pages, private, quality, repeats
+from . import balanced, language, leaks, lengths, licences, manifest, minmax, negatives, packing, pages, private, quality, repeats
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -78,6 +78,11 @@ def op11_manifest(spark, sf_dir):
     return manifest.proofs(manifest.leaves_of(table(spark, sf_dir, "documents"), manifest.tampered()), siblings=False)
 
 
+@query
+def op12_windows(spark, sf_dir):
+    return balanced.packed(table(spark, sf_dir, "documents"))
+
+
 @query
 def op13_hard_negatives(spark, sf_dir):
     rows = negatives.relabelled(table(spark, sf_dir, "embeddings"))
