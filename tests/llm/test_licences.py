@@ -47,3 +47,43 @@ def test_whole_texts(spark):
     rows += [(None, text[:-200]) for text in found.values()]
     got = {r.doc_id: r.licence for r in licences.scan(cases.documents(spark, [(k, text) for k, (_, text) in enumerate(rows)]), licences.known(spark)).collect()}
     assert got == {k: name for k, (name, _) in enumerate(rows)}
+
+
+def test_wrapping_does_not_matter():
+    import textwrap
+    known = licences.known_digests()
+    for name, text in licences.TEXTS:
+        for width in range(40, 121):
+            wrapped = "\n".join(textwrap.fill(part, width, break_long_words=False) for part in text.split("\n"))
+            joined = textwrap.fill(text.replace("\n", " "), width, initial_indent=" * ", subsequent_indent=" * ", break_long_words=False)
+            for form in (wrapped, joined, wrapped.upper(), f"Copyright (c) 2020 The Authors\nAll rights reserved.\n\n{wrapped}"):
+                assert known[licences.digest_of(form)][0] == name, (name, width)
+
+
+def test_copyright_lines(spark):
+    gone = ["Copyright (c) 2020 Me", "  # copyright 1999, 2001 by X", "(C) 2020 Somebody", "© Somebody", "Copyright The Foo Authors", "copyright by me", "COPYRIGHT (C) ME", "All rights reserved.", "Copyright: 2020 Me"]
+    kept = ["copyright notice and this permission", "Copyright Holder means whoever", "COPYRIGHT HOLDERS BE LIABLE", "copyright", "(c) You must retain, in the Source form", "all rights reserved by the owner and others",
+            "copyright law", "copyright resulting from their use", "Copyright License. Subject to the terms"]
+    rows = [(k, f"before\n{line}\nbehind") for k, line in enumerate(gone + kept)]
+    got = {r.doc_id: r.digest for r in licences.scan(cases.documents(spark, rows), licences.known(spark)).collect()}
+    for k, line in rows:
+        assert got[k] == licences.digest_of(line)
+        assert (licences.canonical_text(line) == "before behind") == (k < len(gone)), line
+
+
+def test_lines_that_may_be_notices(spark):
+    rows = [(1, "x\n  * Licenced under CC BY 4.0"), (2, "(licensed under the mit licence)\nReleased under the BSD 2-Clause License."), (3, licences._MIT.replace("\n", " ") + "\nmore"), (4, "© Licensed under the MIT License.")]
+    got = {r.doc_id: (r.licence, r.notices) for r in licences.scan(cases.documents(spark, rows), licences.known(spark)).collect()}
+    assert got == {1: (None, "CC-BY-4.0"), 2: (None, "BSD-2-Clause,MIT"), 3: (None, "MIT"), 4: (None, "")}
+    assert set(licences.beginnings(["license", "licensed"])) == {"license", "licensed", "licence", "licenced"}
+
+
+def test_digests_are_those_of_the_texts_at_hand():
+    from pathlib import Path
+    from tests.llm.whole_licences import entries
+    folder = Path("/usr/share/common-licenses")
+    made = entries(sorted(f for f in folder.iterdir() if f.is_file())) if folder.exists() else []
+    known = {digest: (name, first) for name, digest, first in licences.WHOLE_TEXTS}
+    named = {licences.digest_of((folder / file).read_text()): name for file, name in (("Apache-2.0", "Apache-2.0"), ("GPL-3", "GPL-3.0"), ("MPL-2.0", "MPL-2.0")) if (folder / file).exists()}
+    assert all(known[digest][0] == name for digest, name in named.items())
+    assert all(known[digest] == (name, first) for name, digest, first in made if digest in known)
