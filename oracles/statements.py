@@ -1,5 +1,6 @@
 """DuckDB statement for every registered query, same column names."""
 from .chain import over
+from .timeline import STATEMENTS as TIMELINE
 from .views import TEAM_GAME_LOG
 
 _GAMES = f"WITH {TEAM_GAME_LOG[0]} AS ({TEAM_GAME_LOG[1]})"
@@ -198,3 +199,4 @@ STATEMENTS = {
     f"SELECT '{name}' AS dataset, '{fmt}' AS format, CAST(season AS INT) AS season, 'Play-by-play {text}' AS _source, count(*) AS n_rows, CAST(sum({value}) AS BIGINT) AS total FROM {step} GROUP BY season"
     for name, step, text, value in _OUTPUTS for fmt in ("csv", "parquet"))),
 }
+STATEMENTS |= TIMELINE

@@ -702,3 +702,6 @@ def season_outputs(spark, sf_dir):
             F.count(F.lit(1)).alias("n_rows"), F.sum(F.expr(value[name])).cast("bigint").alias("total")).select(
             F.lit(name).alias("dataset"), F.lit(fmt).alias("format"), "season", "_source", "n_rows", "total") for fmt, df in back.items()]
     return files.union_seasons(counted)
+
+
+from . import workload_timeline  # noqa: E402, F401  registers its queries
