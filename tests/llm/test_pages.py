@@ -110,3 +110,104 @@ def test_versions_of_an_article_do_not_delete_it(spark):
 def test_linked_blocks_are_compared(spark):
     rows = [(n, f"http://l.org/{n}", f"<div><a href=/>Home and all the rest</a></div><p>Body {n}</p><p><a href=x>Source of page {n}</a></p>") for n in range(4)]
     assert texts(spark, rows) == {n: f"Body {n}\nSource of page {n}" for n in range(4)}
+
+
+def text_of(page):
+    return pages.blocks(page)[0]
+
+
+def test_names_raise_a_doubt_only():
+    assert text_of('<div class="site has-sidebar"><article><p>Words of the article</article></div>') == ["Words of the article"]
+    assert text_of('<div class="sidebar wide"><article><p>Words of the article</article></div>') == ["Words of the article"]
+    assert text_of('<main class="content no-sidebar"><p>Words</main>') == ["Words"]
+    assert text_of('<form id="aspnet"><input type=hidden><div><article><p>Words</article></div></form>') == ["Words"]
+    assert text_of('<article><div class="entry-header"><h1>Headline</h1></div><p>Words</article>') == ["Headline", "Words"]
+    assert text_of('<article><p>We <span class="banner">really</span> mean it.</article>') == ["We really mean it."]
+    assert text_of('<article><p>Words of it<p><span class="ad">Buy <b>now</b></span><p>and more</article>') == ["Words of it", "and more"]
+    assert text_of('<article><p>Words<div class="reader-feedback"><p>first!</div><div class="comments"><article><p>No. ' + "x " * 500 + "</article></div></article>") == ["Words"]
+    assert text_of('<section class="comments"><article><p>first!</article></section><article><p>Words</article>') == ["Words"]
+    assert text_of('<div class="page-with-banner promo"><p>' + "Most of the page. " * 9 + '</div><div class="promo"><p>Buy</div>') == [("Most of the page. " * 9).strip()]
+    assert text_of("<p>Some words here<form><p>No controls</form><form><input><p>Name</form>") == ["Some words here", "No controls"]
+    assert text_of("<p>Some words here<form><select><option>a</select><p>Name</form>") == ["Some words here"]
+
+
+def test_tags_with_many_or_long_attributes():
+    many = " ".join(f'a{k}="v"' for k in range(150))
+    long = f'data-x="{"<b> y " * 2_000}"'
+    for attributes in (many, long, f"{many} {long}", "title=Bob's", f"data-y='{'x' * 5000}<'"):
+        assert text_of(f'<article><div {attributes}>text</div><p {attributes} class="comments">no</article>') == ["text"], attributes[:60]
+
+
+def test_deep_and_wide_pages_take_linear_time():
+    import time
+    for page in ('<div class="ad">x' * 40_000, "<form><input>x" * 40_000, '<a x="' * 60_000, "<a x='\">" * 40_000, "<article><p>x" * 40_000, '<span class="ad">x' * 40_000, '<a "<a\' ' * 40_000):
+        start = time.time()
+        pages.blocks(page)
+        assert time.time() - start < 20, page[:30]
+
+
+def test_long_pages_are_compared_in_linear_memory(monkeypatch):
+    pick = random.Random(4)
+    monkeypatch.setattr(pages, "DIRECT_BITS", 40)
+    for _ in range(200):
+        a, b = ([pick.randint(0, 6) for _ in range(pick.randint(0, 30))] for _ in range(2))
+        places = pages.common(a, b)
+        rest = iter(b)
+        assert len(places) == lcs(a, b) and all(a[k] in rest for k in places) and places == sorted(set(places))
+    monkeypatch.undo()
+    a = list(range(30_000))
+    b = [k if k % 3 else -k for k in a]
+    assert pages.common(a, b) == [k for k in a if k % 3 or not k]
+
+
+def brute(rows):
+    """The rules of the module with plain lists: rows (page_id, host, path, lines, marks an article), in order of host and path."""
+    def subsequence(a, b):
+        return [k for k, x in enumerate(a) if x in b]  # lines occur once a page and in the same order everywhere
+    rows = sorted(rows, key=lambda r: (r[1], r[2]))
+    out = {}
+    for at, (key, host, path, lines, marked) in enumerate(rows):
+        def others(order):
+            seen, found = {tuple(lines)}, []
+            for r in order:
+                if r[1] == host and tuple(r[3]) not in seen:
+                    seen.add(tuple(r[3]))
+                    found.append(r)
+            return found
+        before, after = others(rows[:at][::-1])[:pages.WITNESSES], others(rows[at + 1:])[:pages.WITNESSES]
+        gone = set()
+        if not marked and (before or after):
+            other = max(before[:1] + after[:1], key=lambda r: len(__import__("os").path.commonprefix([r[2], path])))
+            gone = set(subsequence(lines, other[3]))
+        elif marked:
+            seen, near = set(), []
+            for k in range(pages.WITNESSES):
+                for r in before[k:k + 1] + after[k:k + 1]:
+                    if tuple(r[3]) not in seen:
+                        seen.add(tuple(r[3]))
+                        near.append(r)
+            size = lambda x: sum(map(len, x))
+            true = [r for r in near if 2 * size([lines[k] for k in subsequence(lines, r[3])]) <= max(size(lines), size(r[3]))][:pages.WITNESSES]
+            if len(true) >= pages.FEWEST:
+                gone = set.intersection(*[set(subsequence(lines, r[3])) for r in true])
+        out[key] = "\n".join(x for k, x in enumerate(lines) if k not in gone)
+    return out
+
+
+def test_whole_operator_against_brute_force(spark):
+    pick = random.Random(11)
+    rows = []
+    for k in range(160):
+        host, marked = f"h{k % 4}.org", k % 4 > 1
+        template = [f"Menu of {host}", f"Section {pick.randrange(2)} of {host}"]
+        own = [f"Own line {k if pick.random() < 0.9 else 7} {n} " + "word " * pick.randint(1, 20) for n in range(pick.randint(1, 4))]
+        lines = [" ".join(x.split()) for x in [template[0], *own, template[1]]]
+        if k % 16 == 12 and k > 16:
+            lines = rows[k - 16][3]
+        rows.append((k, host, f"/{pick.randrange(5)}/{k:03d}", lines, marked))
+    table = [(k, f"https://{host}{path}?q", (("<article>" if marked else "") + "".join(f"<p>{x}</p>" for x in lines) + ("</article>" if marked else "")), "x") for k, host, path, lines, marked in rows]
+    want = brute(rows)
+    assert len({len(want[k].split("\n")) - len(lines) for k, _, _, lines, _ in rows}) > 1
+    for parts in (1, 7):
+        df = spark.createDataFrame(table, "page_id long, url string, html string, row string").repartition(parts)
+        assert {r.page_id: r.text for r in pages.extract(df).collect()} == want
