@@ -322,7 +322,8 @@ def _parsed(pages: DataFrame) -> DataFrame:
             for page, host in zip(batch.column("html").to_pylist(), batch.column("host").to_pylist()):
                 lines, own, marked = _all_blocks(page)
                 hashes = [_hash(line) for line in lines]
-                found.append((_hash(f"{host} {hashes}"), marked, own, hashes, [len(line) for line in lines], lines))
+                kept = [line if may else "" for line, may in zip(lines, own)]  # the others only say what the pages share
+                found.append((_hash(f"{host} {hashes}"), marked, own, hashes, [len(line) for line in kept], kept))
             types = (pa.int64(), pa.bool_(), pa.list_(pa.bool_()), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.list_(pa.string()))
             yield pa.RecordBatch.from_arrays([batch.column(c) for c in ("page_id", "url", "host", "path")] + [pa.array([f[k] for f in found], t) for k, t in enumerate(types)],
                                              ["page_id", "url", *_FIELDS, "lines"])
