@@ -24,12 +24,33 @@ def brute(text: bytes, learned: bytes) -> int:
 def test_phrases_against_brute_force():
     texts = {"a": "the cat sat on the mat and the dog sat too", "b": "der hund und die katze sind in der küche"}
     model = language.Model(texts)
-    for text in ["the catze sat", "der dog!!  xx", "on the der mat und", "küche the " * 120, "a", "zzz"]:
-        read = model.read(text)
+    for text in ["the catze sat", "der dog!!  xx", "on the der mat und", "küche the " * 120, "a", "zzz", "привет the мир"]:
+        points = model.points(text)
         for k, learned in enumerate(texts.values()):
-            # A symbol beyond the alphabet matches nothing that was learned.
-            assert language.OTHER not in model.read(learned)
-            assert model.phrases([read, model.read("the")])[k, 0] == brute(bytes(read), bytes(model.read(learned)))
+            own = bytes(model.symbols(model.points(learned), k))
+            # A letter beyond the alphabet matches nothing that was learned.
+            assert language.OTHER not in own
+            assert model.phrases([points, model.points("the")])[k, 0] == brute(bytes(model.symbols(points, k)), own)
+
+
+def test_letters_of_every_language_count():
+    alphabets = {"latin": "abcdefghij", "greek": "αβγδεζηθικ", "cyrillic": "абвгдежзик", "georgian": "აბგდევზთიკ", "hebrew": "אבגדהוזחטי", "armenian": "աբգդեզէըթժ", "hangul": "가나다라마바사아자차"}
+    import random
+    pick = random.Random(1)
+    say = lambda letters: " ".join("".join(pick.choice(letters) for _ in range(4)) for _ in range(40))
+    model = language.Model({name: say(letters) for name, letters in sorted(alphabets.items())})
+    for name, letters in alphabets.items():
+        assert model.judge([say(letters)])[0] == [name]
+
+
+def test_the_sample_is_bounded_and_fair(spark):
+    rows = [(1, "same id " * 3, "en")] * 800 + [(k, "long text " * 9_000, "long") for k in range(2, 60)] + [(k, f"short {k}", "short") for k in range(60, 400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    learned = language.sampled(docs)
+    assert learned["en"] == "same id " * 3
+    assert abs(len(learned["long"]) - language.LANGUAGE_CHARS) < 40 and learned["long"].count("\n") > 15
+    assert learned["short"].count("\n") == language.SAMPLE_ROWS - 1
+    assert language.shares([10, 1, 100, 100], 60) == [10, 1, 24, 25] and sum(language.shares([5, 5], 60)) == 10
 
 
 def test_accuracy_on_documents_held_out(spark):
