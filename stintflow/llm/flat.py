@@ -1,6 +1,7 @@
 """Texts of an Arrow batch as flat byte arrays: chunks, words, lines and rolling hashes, all vectorised.
 
-Hashes are polynomials over 64-bit integers taken from prefix sums, so a string of any length costs one subtraction.
+Hashes are polynomials over 64-bit integers taken from prefix sums, so a string of any length costs one subtraction. Modulo a power of two, different strings of
+1,024 and more bytes can be made to collide (Thue-Morse words), so strings of more than ``LONG`` bytes are hashed with xxh3 instead.
 """
 from __future__ import annotations
 
@@ -9,8 +10,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 
 CHUNK_BYTES = 1 << 20
+LONG = 512
 BASE, WORD_BASE = 0x9E3779B97F4A7C15, 0xD1342543DE82EF95
 SPACES = (0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D)
 
@@ -112,6 +115,14 @@ def taken(sums: np.ndarray, starts: np.ndarray, ends: np.ndarray, base: int = BA
     return mixed((sums[ends] - sums[starts]) * down[starts])
 
 
+def strings(data: np.ndarray, sums: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hash of each string of ``data`` between the given places, ``sums`` being its ``byte_prefix``."""
+    out = taken(sums, starts, ends)
+    for k in np.flatnonzero(ends - starts > LONG):
+        out[k] = xxhash.xxh3_64_intdigest(np.ascontiguousarray(data[starts[k]:ends[k]]).data)
+    return out
+
+
 def text_of(places: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     """Number of the text that holds each place."""
     return np.searchsorted(bounds, places, "right") - 1
@@ -123,7 +134,7 @@ def windows(hashes: np.ndarray, owner: np.ndarray, n: int) -> tuple[np.ndarray,
         return np.zeros(0, np.int64), np.zeros(0, np.uint64)
     sums = prefix(hashes, WORD_BASE)
     first = np.flatnonzero(owner[:len(owner) - n + 1] == owner[n - 1:])
-    return first, taken(sums, first, first + n, WORD_BASE)
+    return first, taken(sums, first, first + n, WORD_BASE)  # runs of a few words are far too short to collide by design
 
 
 def per_text(values: np.ndarray, owner: np.ndarray, count: int) -> np.ndarray:

@@ -34,7 +34,7 @@ def shingle_sets(data: np.ndarray, bounds: np.ndarray, words: int) -> tuple[np.n
     low = flat.lowered(data)
     starts, ends = flat.spans(flat.NOT_SPACE[low], bounds)
     owner = flat.text_of(starts, bounds)
-    hashes = flat.taken(flat.byte_prefix(low), starts, ends)
+    hashes = flat.strings(low, flat.byte_prefix(low), starts, ends)
     first, keys = flat.windows(hashes, owner, words)
     owners = owner[first]
     begins = np.searchsorted(owner, np.arange(len(bounds)))
@@ -194,6 +194,10 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
 
 
 def keep_one(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """The rows of documents that are the smallest of their component, with all their columns."""
-    dropped = near_duplicates(docs, words, percent).where("NOT kept").select("doc_id").distinct()
-    return docs.join(dropped, "doc_id", "left_anti")
+    """One row of each group of near duplicates, with all its columns: rows are told apart by a written number, so of repeated rows, and of
+    copies without doc_id, one stays as well. It is the row with the smallest doc_id; one without doc_id stays only if no other has one."""
+    numbered = stage(docs.withColumn("__row", F.monotonically_increasing_id()))
+    found = near_duplicates(numbered.select(F.col("__row").alias("doc_id"), "text"), words, percent)
+    named = numbered.select("__row", "doc_id").join(found.select(F.col("doc_id").alias("__row"), "component_id"), "__row")
+    first = named.groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "__row")).alias("first"))
+    return numbered.join(first.select("first.__row"), "__row", "left_semi").select(*docs.columns)

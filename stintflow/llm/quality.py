@@ -35,7 +35,7 @@ def measure(data: np.ndarray, bounds: np.ndarray) -> dict[str, np.ndarray]:
     starts, ends = flat.spans(inside, bounds)
     owner = flat.text_of(starts, bounds)
     sums = flat.byte_prefix(data)
-    words = flat.taken(sums, starts, ends)
+    words = flat.strings(data, sums, starts, ends)
     points = np.concatenate(([0], np.cumsum(((data & 0xC0) != 0x80) & inside)))
     chars = points[ends] - points[starts]
     symbols = np.concatenate(([0], np.cumsum(_SYMBOL[data])))
@@ -47,7 +47,7 @@ def measure(data: np.ndarray, bounds: np.ndarray) -> dict[str, np.ndarray]:
     line_starts, line_ends = line_starts[worded], line_ends[worded]
     line_owner = flat.text_of(line_starts, bounds)
     line_chars = points[line_ends] - points[line_starts]
-    joint = flat.mixed(flat.taken(sums, line_starts, line_ends) + line_owner.astype(np.uint64) * np.uint64(flat.WORD_BASE))
+    joint = flat.mixed(flat.strings(data, sums, line_starts, line_ends) + line_owner.astype(np.uint64) * np.uint64(flat.WORD_BASE))
     again = np.ones(len(joint), bool)
     again[np.unique(joint, return_index=True)[1]] = False
     out["n_dup_lines"] = flat.per_text(again, line_owner, count)

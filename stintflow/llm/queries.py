@@ -5,6 +5,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..sources.shared import stage
 from . import balanced, language, leaks, lengths, licences, manifest, minmax, negatives, packing, pages, private, quality, repeats
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -50,7 +51,7 @@ def op5_licences(spark, sf_dir):
 
 @query
 def op6_length_histogram(spark, sf_dir):
-    return lengths.suffix_sums(lengths.histogram(lengths.encoded_lengths(table(spark, sf_dir, "documents"))))
+    return lengths.suffix_sums(stage(lengths.histogram(lengths.encoded_lengths(table(spark, sf_dir, "documents")))))
 
 
 @query

@@ -65,3 +65,11 @@ def test_components_of_chains_and_stars(spark):
     links = [(k, k + 1) for k in range(40)] + [(100, 100 + k) for k in range(1, 30)] + [(7, 7), (500, 400), (400, 500)]
     found = {r.node: r.least for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
     assert found == {**{k: 0 for k in range(1, 41)}, **{100 + k: 100 for k in range(1, 30)}, 500: 400}
+
+
+def test_one_of_repeated_rows_stays(spark):
+    text = "one two three four five six seven"
+    rows = [(1, text)] * 3 + [(None, text)] * 4 + [(None, "other words that nobody else has said so far")] * 2 + [(5, text), (None, None), (None, None), (7, ""), (7, "")]
+    kept = minmax.keep_one(cases.documents(spark, rows).repartition(3))
+    assert sorted((str(r.doc_id), str(r.text)) for r in kept.collect()) == sorted(
+        [("1", text), ("None", "other words that nobody else has said so far"), ("None", "None"), ("None", "None"), ("7", ""), ("7", "")])

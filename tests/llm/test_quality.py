@@ -48,3 +48,29 @@ def test_texts_that_only_the_method_rejects(spark):
     # Two copies of 17 words, two copies of 12 (only the limit of 10 words is passed), many phrases of five words, and fewer of them.
     assert {key: r.kept for key, r in got.items()} == {1: False, 2: False, 3: False, 4: True}
     assert got[2].dup_5gram_chars < 0.13 * got[2].word_chars and got[3].dup_7gram_chars == 0
+
+
+def thue_morse(size):
+    word = "a"
+    while len(word) < size:
+        word += word.translate(str.maketrans("ab", "ba"))
+    return word
+
+
+def test_long_words_and_lines_that_collide_modulo_a_power_of_two():
+    import numpy as np
+    from stintflow.llm import flat, minmax
+    one = thue_morse(2048)
+    two = one.translate(str.maketrans("ab", "ba"))
+    assert one != two
+    lines = f"{one}\n{two}\n"
+    words = " ".join([one, "w", "x", "y", "z", two, "w", "x", "y", "z"])
+    for text in (lines, words):
+        data = np.frombuffer(text.encode(), np.uint8)
+        found = quality.measure(data, np.array([0, len(data)]))
+        assert found["n_dup_lines"].tolist() == [0] and found["n_repeat_words"].tolist() == [0]
+    data = np.frombuffer(f"{one} a b c{two} a b c{one} a b c".encode(), np.uint8)
+    size = len(data) // 3
+    keys, owners, _ = minmax.shingle_sets(data, np.array([0, size, 2 * size, 3 * size]), 4)
+    assert keys[owners == 0].tolist() != keys[owners == 1].tolist() and keys[owners == 0].tolist() == keys[owners == 2].tolist()
+    assert flat.LONG < 1024
