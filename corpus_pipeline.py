@@ -1,8 +1,8 @@
 """From raw documents to packed training sequences: ``STAGES``, each applied to what its predecessor kept and written as a table.
 
 Every stage takes and keeps the columns of ``documents`` only, so further columns cannot clash with its own; the last gives the packed pieces.
-NULL and empty texts fail the quality rules; an empty table passes every stage; repeated rows stay until the near duplicates go, where rows
-that share a doc_id count as one document.
+NULL and empty texts fail the quality rules; an empty table passes every stage; of repeated rows, and of copies without doc_id, one row stays at the near
+duplicates; rows that share a doc_id are judged by their texts.
 """
 from __future__ import annotations
 
