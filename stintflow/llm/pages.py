@@ -330,7 +330,7 @@ def _parsed(pages: DataFrame) -> DataFrame:
     url = F.coalesce("url", F.lit(""))
     placed = pages.select("page_id", "url", "html", F.lower(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)", 1)).alias("host"),
                           F.regexp_extract(url, r"^(?:[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)?([^?#]*)", 1).alias("path"))
-    return stage(placed.mapInArrow(run, f"page_id {key}, url string, {_LINES}, lines array<string>").withColumn("row", F.monotonically_increasing_id()))
+    return stage(placed.mapInArrow(run, f"page_id {key}, url string, {_LINES}, lines array<string>").withColumn("row", F.monotonically_increasing_id()), compression="zstd")
 
 
 def _hash(text: str | None) -> int:
