@@ -1,10 +1,10 @@
 """Who is on court: period starters, lineups around every substitution, lineups on every event."""
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from ..functions import not_in, sorted_names, type_act
-from ..operators.scan import CHUNK, beside, fill_down, fill_up, row_count, scan
+from ..operators.scan import CHUNK, beside, fill_down, fill_up, following, group_sum, row_count, scan
 from ..operators.verbs import pivot_first
 
 SUBSTITUTION, PERIOD_START = 8, 12
@@ -13,7 +13,7 @@ BENCH_FOULS, OFF_COURT_TYPES = (11, 12, 16, 18, 30), (9, 11)
 LINEUP_SIZE = 5
 FULL_PERIOD_MINUTES, FULL_OVERTIME_MINUTES = "10:00", "5:00"
 ACTIVITY = ("fga", "fta", "reb", "ast", "stl", "blk", "turnovers", "pf")
-FOLD_ROWS = 512
+STAY_STEP = 10_000
 PERIOD_TEAM = ["game_id", "period", "slug_team"]
 
 
@@ -91,68 +91,51 @@ def starting_lineups(starters: DataFrame, player_logs: DataFrame) -> DataFrame:
             .join(team_locations(player_logs), ["game_id", "slug_team"], "left"))
 
 
-def _lineups_at_fold_starts(subs: DataFrame, starts: DataFrame) -> DataFrame:
-    """Lineup at the start of every fold of a long substitution sequence.
+def numbered_substitutions(events: DataFrame) -> DataFrame:
+    """Substitutions with their number inside (game, period, team), from 1, and how many there are."""
+    subs = events.where(F.col("msg_type") == SUBSTITUTION).select(
+        *PERIOD_TEAM, "number_event", F.col("player1").alias("player_out"), F.col("player2").alias("player_in"), *[c for c in events.columns if c == CHUNK])
+    return scan(subs, PERIOD_TEAM, ["number_event"], {"nth": row_count(), "n_subs": group_sum(F.lit(1).cast("bigint"))})
+
+
+def on_court(subs: DataFrame, starts: DataFrame) -> DataFrame:
+    """Stays on court: a player is there from substitution ``since`` (0: from the start) up to, but without, substitution ``until``.
 
-    A player is on court there iff their last mention in an earlier fold is "in"; starters count as "in" before fold 0.
+    A stay begins with a starter or with a mention as "in" and lasts until the player's next mention of either kind. Inside one substitution "in"
+    comes before "out", so a player who is both is not on court after it.
     """
-    keys = PERIOD_TEAM
-    mentions = subs.select(*keys, "fold", F.inline(F.array(
-        F.struct(F.col("player_in").alias("player"), F.lit("in").alias("state"), F.struct("number_event", F.lit(1)).alias("at")),
-        F.struct(F.col("player_out").alias("player"), F.lit("out").alias("state"), F.struct("number_event", F.lit(2)).alias("at")))))
-    last_state = mentions.groupBy(*keys, "player", "fold").agg(F.max_by("state", "at").alias("state"))
-    initial = starts.select(*keys, F.explode(F.split("lineup_start", ", ")).alias("player"),
-                            F.lit(-1).cast("bigint").alias("fold"), F.lit("in").alias("state"))
-    last_fold = subs.groupBy(*keys).agg(F.max("fold").alias("last_fold"))
-    carried = (last_state.unionByName(initial)
-               .withColumn("until", F.lead("fold").over(Window.partitionBy(*keys, "player").orderBy("fold")))
-               .where(F.col("state") == "in").join(last_fold, keys)
-               .withColumn("until", F.coalesce("until", "last_fold"))
-               .where(F.col("until") > F.col("fold")))
-    # Two explodes so that no single array spans a very long stay on court.
-    step = 10_000
-    spans = carried.withColumn("span", F.explode(F.sequence(F.floor((F.col("fold") + 1) / step), F.floor(F.col("until") / step))))
-    folds = spans.withColumn("fold", F.explode(F.sequence(
-        F.greatest(F.col("fold") + 1, F.col("span") * step), F.least(F.col("until"), (F.col("span") + 1) * step - 1))))
-    return folds.groupBy(*keys, "fold").agg(F.collect_set("player").alias("lineup"))
+    cut = [c for c in subs.columns if c == CHUNK]
+    mentions = subs.select(*PERIOD_TEAM, *cut, "nth", "n_subs", F.inline(F.array(
+        F.struct(F.col("player_in").alias("player"), F.lit(True).alias("came"), (F.col("nth") * 2).alias("at")),
+        F.struct(F.col("player_out").alias("player"), F.lit(False).alias("came"), (F.col("nth") * 2 + 1).alias("at"))))).where(F.col("player").isNotNull())
+    mentions = scan(mentions, [*PERIOD_TEAM, "player"], ["at"], {"until": following(F.col("nth"))})
+    came = mentions.where("came").select(*PERIOD_TEAM, "player", F.col("nth").alias("since"), F.coalesce("until", F.col("n_subs") + 1).alias("until"))
+    first = mentions.groupBy(*PERIOD_TEAM, "player").agg(F.min("nth").alias("until"))
+    counts = subs.groupBy(*PERIOD_TEAM).agg(F.max("n_subs").alias("n_subs"))
+    began = beside(starts, subs, "game_id").select(*PERIOD_TEAM, F.explode(F.split("lineup_start", ", ")).alias("player"))
+    began = began.join(counts, PERIOD_TEAM).join(first, [*PERIOD_TEAM, "player"], "left").select(
+        *PERIOD_TEAM, "player", F.lit(0).cast("bigint").alias("since"), F.coalesce("until", F.col("n_subs") + 1).alias("until"))
+    return came.unionByName(began).where(F.col("until") > F.col("since"))
 
 
 def lineup_changes(events: DataFrame, starts: DataFrame) -> DataFrame:
     """Lineup before and after every substitution: (lineup plus player_in) minus player_out, starting from ``starts``.
 
-    A fold over an array of bounded length: whole groups for ordinary games, pieces of ``FOLD_ROWS`` for split ones.
+    Read off the players' stays: the lineup after a substitution is everyone whose stay covers it, the one before it those who cover its
+    predecessor. The work is about the players on court for each substitution, and a group of any length is spread over its substitutions.
     """
-    subs = events.where(F.col("msg_type") == SUBSTITUTION).select(
-        *PERIOD_TEAM, "number_event", F.col("player1").alias("player_out"), F.col("player2").alias("player_in"),
-        *[c for c in events.columns if c == CHUNK])
-    if CHUNK in events.columns:
-        subs = scan(subs, PERIOD_TEAM, ["number_event"], {"fold": row_count()}).drop(CHUNK)
-        subs = subs.withColumn("fold", F.floor((F.col("fold") - 1) / FOLD_ROWS))
-        keys, first = PERIOD_TEAM + ["fold"], _lineups_at_fold_starts(subs, starts)
-        known = starts.select(*PERIOD_TEAM, "team_location", F.lit(True).alias("known"))
-        grouped = _collect_changes(subs, keys).join(first, keys, "left").join(known, PERIOD_TEAM, "left")
-        grouped = grouped.withColumn("lineup", F.when(F.col("known"), F.coalesce("lineup", F.array().cast("array<string>"))))
-    else:
-        keys = PERIOD_TEAM
-        first = starts.select(*keys, "team_location", F.split("lineup_start", ", ").alias("lineup"))
-        grouped = _collect_changes(subs, keys).join(first, keys, "left")
-
-    def change(state, sub):
-        before = state["lineup"]
-        after = F.array_except(F.concat(before, F.array(sub["player_in"])), F.array(sub["player_out"]))
-        row = F.struct(sub["number_event"].alias("number_event"), sorted_names(before).alias("lineup_before"),
-                       sorted_names(after).alias("lineup_after"))
-        return F.struct(after.alias("lineup"), F.array_append(state["rows"], row).alias("rows"))
-
-    empty = F.array().cast("array<struct<number_event:bigint,lineup_before:string,lineup_after:string>>")
-    folded = F.aggregate("changes", F.struct(F.col("lineup").alias("lineup"), empty.alias("rows")), change,
-                         lambda state: state["rows"])
-    return grouped.select(*PERIOD_TEAM, "team_location", F.inline(folded))
-
-
-def _collect_changes(subs: DataFrame, keys: list[str]) -> DataFrame:
-    return subs.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct(
-        F.col("number_event").cast("bigint").alias("number_event"), "player_in", "player_out"))).alias("changes"))
+    subs = numbered_substitutions(events)
+    # Two explodes so that no single array spans a very long stay on court.
+    stays = on_court(subs, starts).withColumn("span", F.explode(F.sequence(F.floor(F.col("since") / STAY_STEP), F.floor((F.col("until") - 1) / STAY_STEP))))
+    covered = stays.withColumn("nth", F.explode(F.sequence(F.greatest("since", F.col("span") * STAY_STEP), F.least(F.col("until"), (F.col("span") + 1) * STAY_STEP) - 1)))
+    seen = covered.select(*PERIOD_TEAM, F.inline(F.array(F.struct("nth", F.col("player").alias("after"), F.lit(None).cast("string").alias("before")),
+                                                         F.struct((F.col("nth") + 1).alias("nth"), F.lit(None).cast("string").alias("after"), F.col("player").alias("before")))))
+    lineups = seen.groupBy(*PERIOD_TEAM, "nth").agg(F.collect_set("before").alias("before"), F.collect_set("after").alias("after"))
+    known = starts.select(*PERIOD_TEAM, "team_location", F.lit(True).alias("known"))
+    joined = subs.join(beside(known, events, "game_id"), PERIOD_TEAM, "left").join(lineups, [*PERIOD_TEAM, "nth"], "left")
+    nobody = F.array().cast("array<string>")
+    return joined.select(*PERIOD_TEAM, "team_location", "number_event", *[
+        F.when(F.col("known"), sorted_names(F.coalesce(side, nobody))).alias(f"lineup_{side}") for side in ("before", "after")])
 
 
 def lineups_on_events(events: DataFrame, starts: DataFrame, changes: DataFrame | None = None) -> DataFrame:

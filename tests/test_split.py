@@ -44,7 +44,7 @@ def test_long_substitution_sequences_are_folded_in_pieces(spark, small, monkeypa
         starts = lineups.starting_lineups(lineups.all_starters(log.frame(), logs), logs)
         return rows(log.apply(lineups.lineup_changes, starts).frame())
     expected = changes(20_000)
-    monkeypatch.setattr(lineups, "FOLD_ROWS", 2)
+    monkeypatch.setattr(lineups, "STAY_STEP", 2)
     assert changes(7) == expected
 
 
