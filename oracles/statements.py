@@ -12,8 +12,8 @@ _SEASON_PAIRS = _PAIRS.format(season=', a.season_id AS "Season"')
 _PLAYER_LOG = ("game_id, season_id, game_date, team_abbreviation, team_id, matchup, player_id, player_name, team_location")
 _SLOTS = [f"{role}_player{slot}" for role in ("off", "def") for slot in range(1, 6)]
 
-_REPUBLISHED = """SELECT CAST(o_orderkey AS INT) AS id, CAST(o_custkey AS INT) AS game_id, CAST(o_totalprice AS VARCHAR) AS status_display_clock,
-  o_orderstatus, 'College basketball schedules (from broadcaster)' AS _source, CAST(EXTRACT(YEAR FROM o_orderdate) AS INT) AS season, '{fmt}' AS format FROM orders"""
+_REPUBLISHED = """SELECT d.name AS dataset, CAST(o_orderkey AS INT) AS id, CAST(o_custkey AS INT) AS game_id, CAST(o_totalprice AS VARCHAR) AS status_display_clock,
+  o_orderstatus, d.title AS _source, CAST(EXTRACT(YEAR FROM o_orderdate) AS INT) AS season, '{fmt}' AS format FROM orders JOIN datasets d ON d.n = o_orderkey % 8"""
 
 _REGISTRY = list(zip(
     [(f"{league}_{table}", f"{title} {text} (from {source})")
@@ -32,13 +32,15 @@ STATEMENTS = {
 "season_from_filename": """SELECT CAST(EXTRACT(YEAR FROM l_shipdate) AS INT) AS season, count(*) AS n_rows, sum(l_quantity) AS sum_qty
   FROM lineitem GROUP BY 1""",
 "json_pluck": """SELECT o_orderkey, 'away' AS side, o_custkey % 12 AS team_id FROM orders
-  UNION ALL SELECT o_orderkey, 'home', (o_custkey + 5) % 12 FROM orders""",
+  UNION ALL SELECT o_orderkey, 'home', (o_custkey + 5) % 12 FROM orders UNION ALL SELECT NULL, 'broken', 61""",
 "sink_json": over("player_logs", "SELECT game_id, game_date, player_id, player_name, team_location, season_id FROM player_logs"),
 "sink_csv": "SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_discount, l_returnflag FROM lineitem",
 "sink_parquet": """SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority, CAST(EXTRACT(YEAR FROM o_orderdate) AS INT) AS season
   FROM orders""",
-"republish_dataset": " UNION ALL ".join(_REPUBLISHED.format(fmt=fmt) for fmt in ("csv", "parquet")),
-"json_compact": "SELECT event_id, CAST(json(props) AS VARCHAR) AS doc FROM events",
+"republish_dataset": "WITH datasets(n, name, title) AS (VALUES " + ", ".join(f"({n}, '{name}', '{title}')" for n, ((name, title), _) in enumerate(_REGISTRY[:8])) + ") "
+    + " UNION ALL ".join(_REPUBLISHED.format(fmt=fmt) for fmt in ("csv", "parquet")),
+"json_compact": """SELECT event_id // 500 AS doc_id, '[' || string_agg(CAST(json(props) AS VARCHAR), ',' ORDER BY event_id) || ']' AS doc, CAST(NULL AS VARCHAR) AS _corrupt
+  FROM events GROUP BY 1 UNION ALL SELECT -1, NULL, '{"k": 1' || chr(10)""",
 "provenance_stamp": "SELECT s_suppkey, s_name, 'Supplier rows' AS _source, '2024-06-01 00:00:00' AS _updated_at FROM supplier",
 "dataset_registry": " UNION ALL ".join(
     f"SELECT '{name}' AS dataset, '{title}' AS title, count(*) AS n_rows FROM {table}" for (name, title), table in _REGISTRY),
@@ -70,8 +72,8 @@ STATEMENTS = {
   SELECT 1 FROM subbed s WHERE s.game_id = e.game_id AND s.period = e.period AND s.player_name = e.player1)"""),
 "fallback_join": over("regular", """SELECT game_id, CAST(number_event_ft AS BIGINT) AS number_event_ft, CAST(min(foul) AS BIGINT) AS number_event_foul
   FROM regular GROUP BY 1, 2"""),
-"rows_update": """SELECT o_orderkey, CASE WHEN o_orderstatus = 'P' THEN CASE WHEN o_totalprice > 200000 THEN 'X' END ELSE o_orderstatus END AS o_orderstatus,
-  o_totalprice FROM orders""",
+"rows_update": """SELECT CASE WHEN o_orderkey % 13 <> 0 THEN o_orderkey END AS key, o_orderkey, CASE WHEN o_orderkey % 13 = 0 THEN 'N'
+  WHEN o_orderstatus = 'P' THEN CASE WHEN o_totalprice > 200000 THEN 'X' END ELSE o_orderstatus END AS o_orderstatus, o_totalprice FROM orders""",
 "semi_join_missing": over("missing", """SELECT game_id, period, team_abbreviation AS slug_team, player_id, min FROM period_box p WHERE EXISTS (
   SELECT 1 FROM missing m WHERE m.game_id = p.game_id AND m.period = p.period AND m.slug_team = p.team_abbreviation)"""),
 # aggregation, distinct, reshape
@@ -80,13 +82,14 @@ STATEMENTS = {
   FROM ev GROUP BY ALL"""),
 "group_size_check": "SELECT o_custkey, count(*) AS n FROM orders GROUP BY 1 HAVING count(*) <> 10",
 "dup_keys": "SELECT l_orderkey, l_linenumber, l_returnflag, count(*) AS n FROM lineitem GROUP BY 1, 2, 3 HAVING count(*) > 1",
-"first_per_key": """SELECT o_custkey, o_orderkey, o_orderstatus, o_totalprice, CAST(o_orderdate AS DATE) AS o_orderdate, o_orderpriority FROM (
-  SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS r FROM orders) WHERE r = 1""",
+"first_per_key": """SELECT o_custkey, o_orderkey, o_orderstatus, o_totalprice, day AS o_orderdate, o_orderpriority FROM (
+  SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY day NULLS LAST, o_orderkey) AS r FROM (
+    SELECT *, CASE WHEN o_orderkey % 3 <> 0 THEN CAST(o_orderdate AS DATE) END AS day FROM orders)) WHERE r = 1""",
 "cond_window_agg": """SELECT l_orderkey, l_partkey, l_suppkey, l_quantity, l_returnflag, count(*) FILTER (WHERE l_returnflag = 'R') OVER w > 0 AS any_returned,
   max(CASE WHEN l_returnflag <> 'R' THEN l_quantity END) OVER w AS max_kept FROM lineitem WINDOW w AS (PARTITION BY l_orderkey)""",
 "set_string_agg": "SELECT o_custkey, string_agg(DISTINCT o_orderpriority, ', ' ORDER BY o_orderpriority) AS priorities FROM orders GROUP BY 1",
 "pivot_first": "SELECT o_custkey, " + ", ".join(
-    f"arg_min({c}, (CAST(o_orderdate AS DATE), o_orderkey)) FILTER (WHERE o_orderstatus = '{s}') AS {c}_{s}"
+    f"arg_min({c}, (o_orderkey % 3 = 0, CASE WHEN o_orderkey % 3 <> 0 THEN CAST(o_orderdate AS DATE) ELSE DATE '1900-01-01' END, o_orderkey)) FILTER (WHERE o_orderstatus = '{s}') AS {c}_{s}"
     for c in ("o_orderkey", "o_totalprice") for s in "FOP") + " FROM orders GROUP BY 1",
 "unpivot_cols": " UNION ALL ".join(f"SELECT l_orderkey, l_partkey, l_suppkey, '{m}' AS measure, {e} AS amount FROM lineitem" for m, e in (
     ("quantity", "l_quantity"), ("discount", "l_discount"), ("tax", "CASE WHEN l_tax > 0.02::DOUBLE THEN l_tax END"))),
@@ -101,8 +104,9 @@ STATEMENTS = {
   PARTITION BY game_id, period ORDER BY number_event ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS last_scorer FROM ev"""),
 "fill_backward": over("ev", """SELECT game_id, number_event, first_value(CASE WHEN msg_type IN (1, 3) THEN slug_team END IGNORE NULLS) OVER (
   PARTITION BY game_id, period ORDER BY number_event ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS next_scorer FROM ev"""),
-"last_per_group": over("ev", """SELECT game_id, period, number_event, msg_type, clock FROM (SELECT *, row_number() OVER (
-  PARTITION BY game_id, period ORDER BY number_event DESC) AS r FROM ev WHERE msg_type IN (1, 2, 3, 4, 5)) WHERE r = 1"""),
+"last_per_group": over("ev", """SELECT game_id, period, number_event, msg_type, clock, known FROM (SELECT *, row_number() OVER (
+  PARTITION BY game_id, period ORDER BY known DESC NULLS FIRST, number_event DESC) AS r FROM (
+    SELECT *, CASE WHEN number_event % 5 <> 0 THEN number_event END AS known FROM ev WHERE msg_type IN (1, 2, 3, 4, 5))) WHERE r = 1"""),
 "first_row_default": over("ev", """SELECT game_id, number_event, CASE WHEN row_number() OVER (PARTITION BY game_id, slug_team ORDER BY number_event) = 1
   THEN clock END AS first_clock FROM ev"""),
 "time_to_next": over("ev", """SELECT game_id, number_event, coalesce(lead(secs_passed_game) OVER (PARTITION BY game_id, period ORDER BY number_event)
@@ -136,7 +140,7 @@ STATEMENTS = {
 # schedules
 "schedule_pairs": _GAMES.replace("THEN 'Playoffs' ELSE 'Regular'", "THEN 'All' ELSE 'All'") + _PAIRS.format(season=""),
 "schedule_season": _GAMES + _SEASON_PAIRS,
-"schedule_master": _GAMES + 'SELECT * EXCLUDE ("SEASON_ID") FROM (' + _SEASON_PAIRS + ")",
+"schedule_master": _GAMES + 'SELECT * EXCLUDE ("SEASON_ID", "Season"), "Season" AS season FROM (' + _SEASON_PAIRS + ") , (VALUES ('csv'), ('parquet'), ('master_csv'), ('master_parquet')) AS w(written)",
 # event preparation
 "player_log_prep": over("player_logs", f"SELECT {_PLAYER_LOG} FROM player_logs"),
 "event_names": over("named", "SELECT game_id, number_event, slug_team, off_slug_team, player1, player2, player3 FROM named"),
@@ -196,7 +200,7 @@ STATEMENTS = {
 "lineup_index": over("idx", "SELECT season, lineup, lineup_id FROM idx"),
 "attach_lineup_ids": over("with_ids", "SELECT game_id, number_event, off_lineup, def_lineup, off_lineup_id, def_lineup_id, season FROM with_ids"),
 "season_outputs": over("with_ids", " UNION ALL ".join(
-    f"SELECT '{name}' AS dataset, '{fmt}' AS format, CAST(season AS INT) AS season, 'Play-by-play {text}' AS _source, count(*) AS n_rows, CAST(sum({value}) AS BIGINT) AS total FROM {step} GROUP BY season"
+    f"SELECT '{name}' AS dataset, '{fmt}' AS format, CAST(season AS INT) AS season, 'Play-by-play {text}' AS _source, count(*) AS n_rows, CAST(sum({value}) AS BIGINT) AS total, CAST(0 AS BIGINT) AS n_differing FROM {step} GROUP BY season"
     for name, step, text, value in _OUTPUTS for fmt in ("csv", "parquet"))),
 }
 STATEMENTS |= TIMELINE

@@ -15,7 +15,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..sources.shared import stage
-from .verbs import join_null_safe
+from .verbs import join_null_safe, nulls_last
 
 CHUNK = "chunk"
 MAX_GROUP_ROWS = 20_000
@@ -161,11 +161,6 @@ class _Windows:
         return aggregate(value).over(self.whole)
 
 
-def nulls_last(*order: str) -> Column:
-    """Position to compare rows by, in which an unknown value comes after all others."""
-    return F.struct(*[column for o in order for column in (F.col(o).isNull().alias(f"{o}_unknown"), F.col(o).alias(o))])
-
-
 def _summary(step: Step, order: list) -> Column:
     """One value per chunk."""
     position = nulls_last(*order)

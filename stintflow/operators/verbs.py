@@ -53,7 +53,7 @@ def lookup_table(df: DataFrame, key: str, value: str, *, new_key: str, new_value
 
 
 def rows_update(df: DataFrame, changes: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Overwrite matched rows with the values of ``changes`` (also with NULL); unmatched rows stay as they are.
+    """Overwrite matched rows with the values of ``changes`` (also with NULL); unmatched rows stay as they are. A NULL key matches a NULL key.
 
     A key that occurs twice in ``changes`` has no defined result and fails the query.
     """
@@ -61,28 +61,34 @@ def rows_update(df: DataFrame, changes: DataFrame, keys: Sequence[str]) -> DataF
     unique = changes.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"), *[F.first(c).alias(f"__{c}") for c in updated])
     checked = unique.withColumn(
         "__hit", F.when(F.col("__n") > 1, F.raise_error(F.lit("rows_update: duplicate key")).cast("boolean")).otherwise(True))
-    joined = df.join(checked.drop("__n"), list(keys), "left")
+    joined = join_null_safe(df, checked.drop("__n"), list(keys), "left")
     return joined.withColumns({c: F.when(F.col("__hit"), F.col(f"__{c}")).otherwise(F.col(c)) for c in updated}).select(
         *df.columns)
 
 
+def nulls_last(*order: str) -> Column:
+    """Position to compare rows by, in which an unknown value comes after all others."""
+    return F.struct(*[column for o in order for column in (F.col(o).isNull().alias(f"{o}_unknown"), F.col(o).alias(o))])
+
+
 def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """First row per key in an explicit order, as an aggregate that combines before the shuffle."""
+    """First row per key in an explicit order (unknown values last), as an aggregate that combines before the shuffle."""
     rest = [c for c in df.columns if c not in keys]
-    row = F.min_by(F.struct(*rest), F.struct(*order))
+    row = F.min_by(F.struct(*rest), nulls_last(*order))
     return df.groupBy(*keys).agg(row.alias("__row")).select(*keys, *[F.col(f"__row.{c}").alias(c) for c in rest])
 
 
 def last_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """Last row per key; a row with an unknown value in the order comes after those without."""
     rest = [c for c in df.columns if c not in keys]
-    row = F.max_by(F.struct(*rest), F.struct(*order))
+    row = F.max_by(F.struct(*rest), nulls_last(*order))
     return df.groupBy(*keys).agg(row.alias("__row")).select(*keys, *[F.col(f"__row.{c}").alias(c) for c in rest])
 
 
 def pivot_first(df: DataFrame, keys: Sequence[str], names_from: str, values: Sequence[str], levels: Sequence[str],
                 order: Sequence[str], names: str = "{value}_{level}") -> DataFrame:
-    """Long to wide over known levels; among several rows for a cell the first in ``order`` wins."""
-    cells = [F.min_by(value, F.when(F.col(names_from) == level, F.struct(*order))).alias(
+    """Long to wide over known levels; among several rows for a cell the first in ``order`` (unknown values last) wins."""
+    cells = [F.min_by(value, F.when(F.col(names_from) == level, nulls_last(*order))).alias(
         names.format(value=value, level=level)) for value in values for level in levels]
     return df.groupBy(*keys).agg(*cells)
 

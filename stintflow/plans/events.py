@@ -9,6 +9,7 @@ from ..operators.verbs import clean_names, join_null_safe, pivot_first, select_a
 
 REPLAY, SCORING_TYPES = 18, (1, 2, 3)
 SALTS = 997
+ANY_SEASON = -1
 
 # Fixed column names of the event feed, new name -> landed name.
 FEED_COLUMNS = {
@@ -40,8 +41,11 @@ def game_calendar(player_logs: DataFrame, season: int | None = None) -> DataFram
 
 
 def season_lookup(player_logs: DataFrame, key: str, value: str, new_value: str) -> DataFrame:
-    """One row per season and id: players and teams change their names between seasons. The smallest of conflicting names wins."""
-    return player_logs.where(F.col(key).isNotNull()).groupBy(F.col("season_id").alias("__season"), F.col(key).cast("bigint").alias("__id")).agg(F.min(value).alias(new_value))
+    """One row per season and id: players and teams change their names between seasons. The smallest of conflicting names wins. Under ``ANY_SEASON``
+    stand the ids that have one name in all seasons."""
+    known = player_logs.where(F.col(key).isNotNull()).groupBy(F.col("season_id").alias("__season"), F.col(key).cast("bigint").alias("__id")).agg(F.min(value).alias(new_value))
+    always = known.groupBy("__id").agg(F.min(new_value).alias("low"), F.max(new_value).alias("high")).where("low = high")
+    return known.unionByName(always.select(F.lit(ANY_SEASON).cast(player_logs.schema["season_id"].dataType).alias("__season"), "__id", F.col("low").alias(new_value)))
 
 
 def attach_names(feed: DataFrame, player_logs: DataFrame) -> DataFrame:
@@ -54,6 +58,9 @@ def attach_names(feed: DataFrame, player_logs: DataFrame) -> DataFrame:
         player_logs = player_logs.withColumn("season_id", F.lit(0))
     seasons = player_logs.groupBy("game_id").agg(F.min("season_id").alias("__season"))
     named = join_null_safe(feed, seasons, ["game_id"], "left")
+    # A game that the logs lack goes by the season of its own feed, if it says one, and else by the names that all seasons agree on.
+    stated = F.col("season_id").cast(player_logs.schema["season_id"].dataType) if "season_id" in feed.columns else F.lit(None)
+    named = named.withColumn("__season", F.coalesce("__season", stated, F.lit(ANY_SEASON).cast(player_logs.schema["season_id"].dataType)))
     nobody = -2 * F.pmod(F.col("number_event"), F.lit(SALTS)) - 1  # odd and negative: equals no doubled id
     for slot in (1, 2, 3):
         key = F.col(f"player{slot}_id").cast("bigint")

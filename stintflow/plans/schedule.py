@@ -37,13 +37,15 @@ def master_schedule(spark, folder: str) -> DataFrame:
 
 
 def write_schedules(schedule: DataFrame, folder: str) -> dict[str, str]:
-    """The schedule per season (partitions, replaced one by one) and as one master table, each as CSV and Parquet."""
-    paths = {}
-    for fmt, write in (("csv", write_csv), ("parquet", write_parquet)):
-        paths[fmt] = f"{folder}/{fmt}"
-        write(schedule.withColumn("season", F.col("Season")).drop("Season") if "Season" in schedule.columns else schedule, paths[fmt], "season")
-    master = schedule.sparkSession.read.option("mergeSchema", True).parquet(paths["parquet"])
-    for fmt, write in (("csv", write_csv), ("parquet", write_parquet)):
-        paths[f"master_{fmt}"] = f"{folder}/master_{fmt}"
-        write(master, paths[f"master_{fmt}"])
+    """The schedule per season (partitions, replaced one by one) and as one master table, each as CSV and Parquet.
+
+    The master tables are made from all season files of the folder, so seasons written earlier are in them as well.
+    """
+    rows = schedule.drop("SEASON_ID").withColumnRenamed("Season", "season") if "Season" in schedule.columns else schedule.withColumnRenamed("SEASON_ID", "season")
+    paths = {fmt: f"{folder}/{fmt}" for fmt in ("csv", "parquet", "master_csv", "master_parquet")}
+    write_parquet(rows, paths["parquet"], "season")
+    seasons = master_schedule(schedule.sparkSession, paths["parquet"])
+    write_csv(rows, paths["csv"], "season")
+    write_parquet(seasons, paths["master_parquet"])
+    write_csv(seasons, paths["master_csv"])
     return paths

@@ -10,10 +10,11 @@ def compact_json(text: Column) -> Column:
 
 
 def read_documents(spark: SparkSession, folder: str) -> DataFrame:
-    """One row per ``{id}.json``: its id from the file name and its text."""
-    name = F.regexp_extract(F.col("_metadata.file_name"), r"([^/]+)$", 1)
-    return spark.read.text(folder, wholetext=True).select(
-        F.regexp_replace(name, r"\.json$", "").try_cast("bigint").alias("doc_id"), F.col("value").alias("doc"))
+    """One row per file: its text, and its id from the name ``{id}.json``, or else from a ``key={id}`` folder above it."""
+    own = F.regexp_extract(F.col("_metadata.file_name"), r"^(-?[0-9]+)\.json$", 1)
+    above = F.regexp_extract(F.col("_metadata.file_path"), r"=(-?[0-9]+)/[^/]*$", 1)
+    return spark.read.option("recursiveFileLookup", True).text(folder, wholetext=True).select(
+        F.coalesce(own.try_cast("bigint"), above.try_cast("bigint")).alias("doc_id"), F.col("value").alias("doc"))
 
 
 def compact_folder(spark: SparkSession, source: str, target: str, files: int | None = None) -> None:

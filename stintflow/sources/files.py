@@ -61,23 +61,28 @@ def _by_partition(df: DataFrame, partition: Sequence[str]) -> DataFrame:
     return df.hint("rebalance", *partition) if partition else df
 
 
-def _writer(df: DataFrame, partition: Sequence[str]):
-    """Season partitions are replaced one by one, so a rebuilt season leaves the others alone, whatever the format."""
-    return _by_partition(df, partition).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition)
+def _writer(df: DataFrame, partition: Sequence[str], rebalanced: bool = True):
+    """Season partitions are replaced one by one, so a rebuilt season leaves the others alone, whatever the format. Rows that lie by partition
+    already need no rebalancing."""
+    return (_by_partition(df, partition) if rebalanced else df).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition)
 
 
-def write_csv(df: DataFrame, path: str, *partition: str) -> None:
-    """Arrays become comma separated text, which CSV has no other form for."""
+def flattened(df: DataFrame) -> DataFrame:
+    """Arrays as comma separated text, which CSV has no other form for."""
     lists = {f.name: F.array_join(F.col(f.name).cast("array<string>"), ",", "?") for f in df.schema.fields if isinstance(f.dataType, ArrayType)}
-    _writer(df.withColumns(lists) if lists else df, partition).option("header", True).csv(path)
+    return df.withColumns(lists) if lists else df
 
 
-def write_json(df: DataFrame, path: str, *partition: str) -> None:
-    _writer(df, partition).option("ignoreNullFields", False).json(path)
+def write_csv(df: DataFrame, path: str, *partition: str, rebalanced: bool = True) -> None:
+    _writer(flattened(df), partition, rebalanced).option("header", True).csv(path)
 
 
-def write_parquet(df: DataFrame, path: str, *partition: str) -> None:
-    _writer(df, partition).parquet(path)
+def write_json(df: DataFrame, path: str, *partition: str, rebalanced: bool = True) -> None:
+    _writer(df, partition, rebalanced).option("ignoreNullFields", False).json(path)
+
+
+def write_parquet(df: DataFrame, path: str, *partition: str, rebalanced: bool = True) -> None:
+    _writer(df, partition, rebalanced).parquet(path)
 
 
 WRITERS = {"csv": write_csv, "json": write_json, "parquet": write_parquet}

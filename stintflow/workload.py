@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from . import fixtures as fx
 from .functions import (clock_seconds, extract_first, ifelse_na, not_in, period_start_seconds, replace_first,
                         seconds_passed_game, sorted_names, split_names, sum_na)
-from .operators import verbs
+from .operators import ranking, verbs
 from .operators.scan import (EventLog, fill_down, fill_up, following, previous, row_count, running_sum, scan)
 from .plans import events, fouls, garbage, lineups, possessions, schedule, season, stats
 from .sources import compact, files, publish
@@ -68,13 +68,17 @@ def season_from_filename(spark, sf_dir):
 
 @query
 def json_pluck(spark, sf_dir):
+    """Documents over several lines, many to a file, and one file that breaks off: its text stays as a row of its own."""
     path = new_path(spark, "json")
-    games = fx.table(spark, sf_dir, "orders").select("o_orderkey", F.struct(F.array(
+    games = fx.table(spark, sf_dir, "orders").select(F.floor(F.col("o_orderkey") / 4000).alias("file"), F.to_json(F.struct("o_orderkey", F.struct(F.array(
         F.struct(F.lit("away").alias("side"), (F.col("o_custkey") % 12).alias("team_id")),
-        F.struct(F.lit("home").alias("side"), ((F.col("o_custkey") + 5) % 12).alias("team_id"))).alias("game_log")).alias("frames"))
-    files.write_json(games, path)
-    schema = "o_orderkey BIGINT, frames STRUCT<game_log: ARRAY<STRUCT<side: STRING, team_id: BIGINT>>>"
-    return files.pluck(spark.read.schema(schema).json(path), "frames.game_log", "o_orderkey")
+        F.struct(F.lit("home").alias("side"), ((F.col("o_custkey") + 5) % 12).alias("team_id"))).alias("game_log")).alias("frames"))).alias("doc"))
+    whole = games.groupBy("file").agg(F.concat(F.lit("[\n"), F.array_join(F.collect_list("doc"), ",\n"), F.lit("\n]")).alias("value"))
+    broken = whole.orderBy("file").limit(1).select(F.lit(-1).cast("long").alias("file"), F.substring("value", 1, 60).alias("value"))
+    whole.unionByName(broken).write.partitionBy("file").text(path)
+    docs = stage(files.scan_json(spark, path, "o_orderkey BIGINT, frames STRUCT<game_log: ARRAY<STRUCT<side: STRING, team_id: BIGINT>>>", multi_line=True))
+    plucked = files.pluck(docs, "frames.game_log", "o_orderkey")
+    return plucked.unionByName(docs.where("_corrupt IS NOT NULL").select(F.lit(None).cast("bigint").alias("o_orderkey"), F.lit("broken").alias("side"), F.length("_corrupt").cast("bigint").alias("team_id")))
 
 
 @query
@@ -118,23 +122,37 @@ def season_rebuild(spark, sf_dir):
 
 @query
 def republish_dataset(spark, sf_dir):
-    source, target = new_path(spark, "landed"), new_path(spark, "published")
-    orders = fx.table(spark, sf_dir, "orders")
-    landed = orders.select(
+    """Eight datasets from a stored configuration, each landed by season and published in two formats."""
+    landed, target = new_path(spark, "landed"), new_path(spark, "published")
+    orders = fx.table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").cast("string").alias("id"), F.col("o_custkey").cast("string").alias("game_id"),
-        F.col("o_totalprice").alias("status_display_clock"), "o_orderstatus", F.year("o_orderdate").alias("season"))
-    files.write_parquet(landed, source, "season")
-    dataset = publish.datasets()[0]
-    paths = publish.republish(spark, dataset, source, target, updated_at=STAMPED_AT)
-    columns = "id INT, game_id INT, status_display_clock STRING, o_orderstatus STRING, _source STRING, _updated_at TIMESTAMP, season INT"
-    back = [spark.read.option("header", True).schema(columns).csv(paths["csv"]), spark.read.parquet(paths["parquet"])]
-    return files.union_seasons([df.select("id", "game_id", "status_display_clock", "o_orderstatus", "_source", "season",
-                                          F.lit(fmt).alias("format")) for fmt, df in zip(("csv", "parquet"), back)])
+        F.col("o_totalprice").alias("status_display_clock"), "o_orderstatus", F.year("o_orderdate").alias("season"), (F.col("o_orderkey") % 8).alias("n"))
+    config = []
+    for n, dataset in enumerate(publish.datasets()[:8]):
+        files.write_parquet(orders.where(F.col("n") == n).drop("n"), f"{landed}/{dataset.name}", "season")
+        config.append((dataset.name, dataset.title, f"{landed}/{dataset.name}"))
+    published = publish.republish_all(spark, publish.save_registry(spark, config, new_path(spark, "registry")), target, updated_at=STAMPED_AT)
+    columns = "id STRING, game_id STRING, status_display_clock STRING, o_orderstatus STRING, _source STRING, _updated_at TIMESTAMP, season INT"
+    back = []
+    for name, paths in published.items():
+        read = {"csv": spark.read.option("header", True).schema(columns).csv(paths["csv"]), "parquet": spark.read.parquet(paths["parquet"])}
+        back += [df.select(F.lit(name).alias("dataset"), F.col("id").cast("int").alias("id"), F.col("game_id").cast("int").alias("game_id"),
+                           F.col("status_display_clock").cast("string").alias("status_display_clock"), "o_orderstatus", "_source", "season",
+                           F.lit(fmt).alias("format")) for fmt, df in read.items()]
+    return files.union_seasons(back)
 
 
 @query
 def json_compact(spark, sf_dir):
-    return fx.table(spark, sf_dir, "events").select("event_id", compact.compact_json(F.col("props")).alias("doc"))
+    """A folder of small documents over several lines, one of them broken, rewritten as one document a line."""
+    source, target = new_path(spark, "documents"), new_path(spark, "compact")
+    events = fx.table(spark, sf_dir, "events").select(F.floor(F.col("event_id") / 500).alias("doc_id"), F.struct("event_id", "props").alias("event"))
+    docs = events.groupBy("doc_id").agg(F.array_sort(F.collect_list("event")).alias("events")).select(
+        "doc_id", F.concat(F.lit("[ "), F.array_join(F.transform("events", lambda e: e["props"]), " ,\n  "), F.lit(" ]")).alias("value"))
+    broken = docs.orderBy("doc_id").limit(1).select(F.lit(-1).cast("long").alias("doc_id"), F.lit('{"k": 1').alias("value"))
+    docs.unionByName(broken).write.partitionBy("doc_id").text(source)
+    compact.compact_folder(spark, source, target)
+    return spark.read.schema("doc_id BIGINT, doc STRING, _corrupt STRING").json(target)
 
 
 @query
@@ -145,9 +163,11 @@ def provenance_stamp(spark, sf_dir):
 
 @query
 def dataset_registry(spark, sf_dir):
+    """The stored registry of twelve datasets, each read from a given table, with their numbers of rows."""
     names = ("orders", "lineitem", "customer", "events", "part", "supplier", "documents", "labels", "pages",
              "conversations", "embeddings", "benchmark")
-    return publish.registry(dict(zip(publish.datasets(), (fx.table(spark, sf_dir, name) for name in names))))
+    rows = [(dataset.name, dataset.title, f"{sf_dir}/{name}.parquet") for dataset, name in zip(publish.datasets(), names)]
+    return publish.counted_registry(publish.save_registry(spark, rows, new_path(spark, "registry")))
 
 
 # ---- projections, filters, predicates
@@ -255,10 +275,11 @@ def fallback_join(spark, sf_dir):
 
 @query
 def rows_update(spark, sf_dir):
-    orders = fx.table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
-    changes = orders.where(F.col("o_orderstatus") == "P").select(
-        "o_orderkey", F.when(F.col("o_totalprice") > 200000, "X").alias("o_orderstatus"))
-    return verbs.rows_update(orders, changes, ["o_orderkey"])
+    """Orders, some without a key, updated by key; the change without a key goes to all of those."""
+    orders = fx.table(spark, sf_dir, "orders").select(F.when(F.col("o_orderkey") % 13 != 0, F.col("o_orderkey")).alias("key"), "o_orderkey", "o_orderstatus", "o_totalprice")
+    changes = orders.where((F.col("o_orderstatus") == "P") & F.col("key").isNotNull()).select("key", F.when(F.col("o_totalprice") > 200000, "X").alias("o_orderstatus"))
+    unknown = changes.groupBy().agg(F.lit(None).cast("bigint").alias("key"), F.lit("N").alias("o_orderstatus"))
+    return verbs.rows_update(orders, changes.unionByName(unknown), ["key"])
 
 
 @query
@@ -291,8 +312,9 @@ def dup_keys(spark, sf_dir):
 
 @query
 def first_per_key(spark, sf_dir):
-    return verbs.first_per_key(fx.table(spark, sf_dir, "orders").withColumn("o_orderdate", F.col("o_orderdate").cast("date")),
-                               ["o_custkey"], ["o_orderdate", "o_orderkey"])
+    """Some orders have no date: they come last."""
+    orders = fx.table(spark, sf_dir, "orders").withColumn("o_orderdate", F.when(F.col("o_orderkey") % 3 != 0, F.col("o_orderdate").cast("date")))
+    return verbs.first_per_key(orders, ["o_custkey"], ["o_orderdate", "o_orderkey"])
 
 
 @query
@@ -310,7 +332,7 @@ def set_string_agg(spark, sf_dir):
 
 @query
 def pivot_first(spark, sf_dir):
-    orders = fx.table(spark, sf_dir, "orders").withColumn("o_orderdate", F.col("o_orderdate").cast("date"))
+    orders = fx.table(spark, sf_dir, "orders").withColumn("o_orderdate", F.when(F.col("o_orderkey") % 3 != 0, F.col("o_orderdate").cast("date")))
     return verbs.pivot_first(orders, ["o_custkey"], "o_orderstatus", ["o_orderkey", "o_totalprice"], ["F", "O", "P"],
                              ["o_orderdate", "o_orderkey"])
 
@@ -366,8 +388,10 @@ def fill_backward(spark, sf_dir):
 
 @query
 def last_per_group(spark, sf_dir):
+    """Rows whose order is unknown come last of their group, so one of them is its last row."""
     rows = event_log(spark, sf_dir).frame().where(F.col("msg_type").isin(1, 2, 3, 4, 5))
-    return verbs.last_per_key(rows.select("game_id", "period", "number_event", "msg_type", "clock"), ["game_id", "period"], ["number_event"])
+    rows = rows.select("game_id", "period", "number_event", "msg_type", "clock", F.when(F.col("number_event") % 5 != 0, F.col("number_event")).alias("known"))
+    return verbs.last_per_key(rows, ["game_id", "period"], ["known", "number_event"])
 
 
 @query
@@ -484,9 +508,14 @@ def schedule_season(spark, sf_dir):
 
 @query
 def schedule_master(spark, sf_dir):
-    path = new_path(spark, "schedules")
-    files.write_parquet(_season_schedule(spark, sf_dir).drop("SEASON_ID"), path, "Season")
-    return schedule.master_schedule(spark, path)
+    """Schedules written by season and as master tables, in both formats, and read back from all four."""
+    paths = schedule.write_schedules(_season_schedule(spark, sf_dir), new_path(spark, "schedules"))
+    columns = "GAME_ID BIGINT, GAME_DATE DATE, MATCHUP STRING, AWAY_WL STRING, AWAY_TEAM_ID INT, AWAY_PTS INT, HOME_WL STRING, HOME_TEAM_ID INT, HOME_PTS INT, season INT"
+    back = []
+    for fmt, path in paths.items():
+        rows = spark.read.option("header", True).schema(columns).csv(path) if fmt.endswith("csv") else schedule.master_schedule(spark, path)
+        back.append(rows.withColumn("written", F.lit(fmt)))
+    return files.union_seasons(back)
 
 
 # ---- event preparation
@@ -690,6 +719,7 @@ def attach_lineup_ids(spark, sf_dir):
 
 @query
 def season_outputs(spark, sf_dir):
+    """Published tables: rows and totals by season, and how many rows differ between the CSV and the Parquet files (all columns compared)."""
     tune(spark)
     built = season.build_season(fx.landed(spark, sf_dir))
     names = ("play_by_play", "lineup_index", "lineup_stats")
@@ -697,10 +727,13 @@ def season_outputs(spark, sf_dir):
     counted = []
     value = {"play_by_play": "3 * double(number_event) + double(msg_type)", "lineup_index": "double(lineup_id)", "lineup_stats": "7 * double(pts_team) + double(stint)"}
     for name, paths in outputs.items():
-        back = {"csv": spark.read.option("header", True).csv(paths["csv"]), "parquet": spark.read.parquet(paths["parquet"])}
-        counted += [df.groupBy(F.col("season").cast("int").alias("season"), "_source").agg(
+        stored = files.flattened(spark.read.parquet(paths["parquet"]))
+        copied = spark.read.option("header", True).schema(stored.schema).csv(paths["csv"])
+        differing = ranking.differences(copied, stored).agg(F.count(F.lit(1)).alias("n_differing"))
+        sums = files.union_seasons([df.groupBy("season", "_source").agg(
             F.count(F.lit(1)).alias("n_rows"), F.sum(F.expr(value[name])).cast("bigint").alias("total")).select(
-            F.lit(name).alias("dataset"), F.lit(fmt).alias("format"), "season", "_source", "n_rows", "total") for fmt, df in back.items()]
+            F.lit(name).alias("dataset"), F.lit(fmt).alias("format"), "season", "_source", "n_rows", "total") for fmt, df in {"csv": copied, "parquet": stored}.items()])
+        counted.append(sums.join(differing.withColumn("dataset", F.lit(name)), "dataset"))
     return files.union_seasons(counted)
 
 
