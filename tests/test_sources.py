@@ -127,3 +127,46 @@ def test_season_comes_from_the_file_name_first(spark, tmp_path):
         file.write_text("a\n1\n")
     rows = files.scan_seasons(spark, str(tmp_path), "csv", "a int").collect()
     assert sorted((r.season or 0) for r in rows) == [0, 2001, 2005, 2007]
+
+
+def test_schedules_are_written_by_season_and_as_master(spark, tmp_path):
+    def games(season, number):
+        return spark.createDataFrame([(season, number, "d", "A @ B", "W", 7), (season, number, "d", "B vs. A", "L", 6)], "SEASON_ID INT, GAME_ID INT, GAME_DATE STRING, MATCHUP STRING, WL STRING, PTS INT")
+    none = games(2001, 1).where("false")
+    schedule.write_schedules(schedule.season_schedule(games(2001, 1), none), str(tmp_path))
+    paths = schedule.write_schedules(schedule.season_schedule(games(2002, 2), none, season=2002), str(tmp_path))
+    for fmt in ("parquet", "master_parquet"):
+        assert rows(spark.read.parquet(paths[fmt]), "GAME_ID", "season", "AWAY_PTS", "HOME_PTS") == [(1, 2001, 7, 6), (2, 2002, 7, 6)]
+    for fmt in ("csv", "master_csv"):
+        assert rows(files.scan_csv(spark, paths[fmt], "GAME_ID INT, season INT") if fmt == "csv" else files.scan_csv(spark, paths[fmt]).select("GAME_ID", "season"), "GAME_ID", "season") == [(1, 2001), (2, 2002)]
+
+
+def test_publishing_again_copies_only_its_own_seasons(spark, tmp_path):
+    folder = str(tmp_path)
+    first = spark.createDataFrame([(1, [1, None], 2001), (2, [3], 2002)], "v INT, ids ARRAY<INT>, season INT")
+    again = spark.createDataFrame([(9, [4], 2002)], "v INT, ids ARRAY<INT>, season INT")
+    publish.write_season_outputs({"t": first}, folder, updated_at=WHEN)
+    paths = publish.write_season_outputs({"t": again}, folder, updated_at=WHEN + datetime.timedelta(days=1))["t"]
+    assert rows(spark.read.parquet(paths["parquet"]), "v", "season") == [(1, 2001), (9, 2002)]
+    assert rows(files.scan_csv(spark, paths["csv"], "v INT, ids STRING, _source STRING, _updated_at TIMESTAMP, season INT"), "v", "ids", "season") == [(1, "1,?", 2001), (9, "4", 2002)]
+
+
+def test_unknown_order_values_come_last(spark):
+    from stintflow.operators import verbs
+    df = spark.createDataFrame([(1, None, "n"), (1, 5, "five"), (1, 9, "nine"), (2, None, "only")], "k INT, o INT, v STRING")
+    assert rows(verbs.first_per_key(df, ["k"], ["o"]), "k", "v") == [(1, "five"), (2, "only")]
+    assert rows(verbs.last_per_key(df, ["k"], ["o"]), "k", "v") == [(1, "n"), (2, "only")]
+    assert rows(verbs.pivot_first(df.withColumn("l", F.lit("x")), ["k"], "l", ["v"], ["x"], ["o"]), "k", "v_x") == [(1, "five"), (2, "only")]
+    update = spark.createDataFrame([(None, "new")], "k INT, v STRING")
+    assert rows(verbs.rows_update(df.withColumn("k", F.expr("nullif(k, 2)")), update, ["k"]), "v") == [("five",), ("n",), ("new",), ("nine",)]
+
+
+def test_names_of_games_without_a_log(spark):
+    from stintflow.plans import events
+    logs = spark.createDataFrame([(1, 2023, 10, "Ann", 5, "OLD"), (3, 2024, 10, "Ann", 5, "NEW"), (3, 2024, 11, "Bea", 6, "B")],
+                                 "game_id INT, season_id INT, player_id INT, player_name STRING, team_id INT, team_abbreviation STRING")
+    feed = spark.createDataFrame([(g, n, 10, 11, None, 5, 6, s) for g, n, s in ((1, 1, None), (2, 1, None), (2, 2, 2023), (3, 1, None))],
+                                 "game_id INT, number_event BIGINT, player1_id INT, player2_id INT, player3_id INT, team_id INT, off_team_id INT, season_id INT")
+    got = rows(events.attach_names(feed, logs), "game_id", "number_event", "player1", "player2", "slug_team", "off_slug_team")
+    # Game 2 has no log: by the season its feed states, or else by names that never changed.
+    assert got == [(1, 1, "Ann", None, "OLD", None), (2, 1, "Ann", "Bea", None, "B"), (2, 2, "Ann", None, "OLD", None), (3, 1, "Ann", "Bea", "NEW", "B")]
