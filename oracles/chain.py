@@ -10,13 +10,14 @@ _FREE = "(18, 19, 20, 25, 26, 27, 28, 29)"
 STEPS = [*FEED, PLAYER_LOGS, PERIOD_BOX,
 ("teams", """SELECT game_id, max(CASE team_location WHEN 'home' THEN team_abbreviation END) AS team_home,
   max(CASE team_location WHEN 'away' THEN team_abbreviation END) AS team_away FROM player_logs GROUP BY game_id"""),
+("calendar", "SELECT DISTINCT game_id, season_id, game_date FROM player_logs"),
 ("named", """SELECT f.game_id, f.period, f.clock, f.number_event, f.msg_type, f.act_type, t.slug AS slug_team, o.slug AS off_slug_team,
-  p1.nm AS player1, p2.nm AS player2, p3.nm AS player3, f.description, f.desc_value FROM feed f
-  LEFT JOIN (SELECT DISTINCT player_id, player_name AS nm FROM player_logs) p1 ON p1.player_id = f.player1_id
-  LEFT JOIN (SELECT DISTINCT player_id, player_name AS nm FROM player_logs) p2 ON p2.player_id = f.player2_id
-  LEFT JOIN (SELECT DISTINCT player_id, player_name AS nm FROM player_logs) p3 ON p3.player_id = f.player3_id
-  LEFT JOIN (SELECT DISTINCT team_id, team_abbreviation AS slug FROM player_logs) t ON t.team_id = f.team_id
-  LEFT JOIN (SELECT DISTINCT team_id, team_abbreviation AS slug FROM player_logs) o ON o.team_id = f.off_team_id"""),
+  p1.nm AS player1, p2.nm AS player2, p3.nm AS player3, f.description, f.desc_value FROM feed f LEFT JOIN calendar c ON c.game_id = f.game_id
+  LEFT JOIN (SELECT DISTINCT season_id, player_id, player_name AS nm FROM player_logs) p1 ON p1.player_id = f.player1_id AND p1.season_id = c.season_id
+  LEFT JOIN (SELECT DISTINCT season_id, player_id, player_name AS nm FROM player_logs) p2 ON p2.player_id = f.player2_id AND p2.season_id = c.season_id
+  LEFT JOIN (SELECT DISTINCT season_id, player_id, player_name AS nm FROM player_logs) p3 ON p3.player_id = f.player3_id AND p3.season_id = c.season_id
+  LEFT JOIN (SELECT DISTINCT season_id, team_id, team_abbreviation AS slug FROM player_logs) t ON t.team_id = f.team_id AND t.season_id = c.season_id
+  LEFT JOIN (SELECT DISTINCT season_id, team_id, team_abbreviation AS slug FROM player_logs) o ON o.team_id = f.off_team_id AND o.season_id = c.season_id"""),
 ("clocked", """SELECT n.*, team_home, team_away, number_event AS number_original,
   CASE WHEN period <= 4 THEN (period - 1) * 600 ELSE 2400 + (period - 5) * 300 END + CASE WHEN period <= 4 THEN 600 ELSE 300 END
     - (CAST(split_part(clock, ':', 1) AS INT) * 60 + CAST(split_part(clock, ':', 2) AS DOUBLE)) AS secs_passed_game,
@@ -46,7 +47,7 @@ STEPS = [*FEED, PLAYER_LOGS, PERIOD_BOX,
 ("starters", """SELECT game_id, period, player_name, player_id, slug_team FROM starters_found
   UNION ALL SELECT game_id, period, player_name, player_id, slug_team FROM repair"""),
 ("lineup_start", """SELECT game_id, period, slug_team, string_agg(DISTINCT player_name, ', ' ORDER BY player_name) AS lineup_start,
-  CASE slug_team WHEN 'HOM' THEN 'home' WHEN 'AWY' THEN 'away' END AS team_location FROM starters GROUP BY game_id, period, slug_team"""),
+  any_value(CASE slug_team WHEN team_home THEN 'home' WHEN team_away THEN 'away' END) AS team_location FROM starters LEFT JOIN teams USING (game_id) GROUP BY game_id, period, slug_team"""),
 ("start_names", "SELECT DISTINCT game_id, period, slug_team, player_name AS player FROM starters"),
 ("candidates", """SELECT game_id, period, slug_team, player, bool_or(st) AS is_start FROM (
   SELECT game_id, period, slug_team, player, TRUE AS st FROM start_names UNION ALL SELECT game_id, period, slug_team, player, FALSE FROM mentions)
@@ -169,7 +170,7 @@ STEPS = [*FEED, PLAYER_LOGS, PERIOD_BOX,
   coalesce(s.poss_home, CASE WHEN msg_type <> 3 AND possession = 1 AND slug_team = team_home THEN 1 ELSE 0 END) AS poss_home,
   coalesce(s.poss_away, CASE WHEN msg_type <> 3 AND possession = 1 AND slug_team = team_away THEN 1 ELSE 0 END) AS poss_away,
   coalesce(lead(secs_passed_game) OVER (PARTITION BY p.game_id, period ORDER BY p.number_event) - secs_passed_game, 0) AS secs_played,
-  DATE '2024-01-01' AS game_date, 2024 AS season FROM pp p LEFT JOIN foul_stats s ON s.game_id = p.game_id AND s.number_event = p.number_event"""),
+  c.game_date, c.season_id AS season FROM pp p LEFT JOIN calendar c ON c.game_id = p.game_id LEFT JOIN foul_stats s ON s.game_id = p.game_id AND s.number_event = p.number_event"""),
 # garbage time, roles
 ("openers", """SELECT game_id, max(CASE team_location WHEN 'home' THEN lineup_start END) AS oh, max(CASE team_location WHEN 'away' THEN lineup_start END) AS oa
   FROM lineup_start WHERE period = 1 GROUP BY game_id"""),
@@ -203,13 +204,13 @@ STEPS = [*FEED, PLAYER_LOGS, PERIOD_BOX,
   CAST(CASE WHEN count(*) = count(pts_opp) THEN sum(pts_opp) END AS BIGINT) AS pts_opp,
   CAST(sum(poss_team) AS BIGINT) AS poss_team, CAST(sum(poss_opp) AS BIGINT) AS poss_opp, sum(secs_played) AS secs_played
   FROM persp GROUP BY game_id, game_date, period, stint, slug_team, slug_opp, lineup, garbage_time"""),
-("idx", """SELECT 2024 AS season, lineup, row_number() OVER (ORDER BY g, d, p, s, t, o, lineup) AS lineup_id FROM (
-  SELECT lineup, (f).g AS g, (f).d AS d, (f).p AS p, (f).s AS s, (f).t AS t, (f).o AS o FROM (
-    SELECT lineup, min({'g': game_id, 'd': game_date, 'p': period, 's': stint, 't': slug_team, 'o': slug_opp}) AS f
-    FROM existing GROUP BY lineup))"""),
+("idx", """SELECT season, lineup, row_number() OVER (PARTITION BY season ORDER BY g, d, p, s, t, o, lineup) AS lineup_id FROM (
+  SELECT season, lineup, (f).g AS g, (f).d AS d, (f).p AS p, (f).s AS s, (f).t AS t, (f).o AS o FROM (
+    SELECT season_id AS season, lineup, min({'g': game_id, 'd': game_date, 'p': period, 's': stint, 't': slug_team, 'o': slug_opp}) AS f
+    FROM existing JOIN (SELECT game_id, season_id FROM calendar) USING (game_id) GROUP BY season_id, lineup))"""),
 ("stats", """SELECT e.* REPLACE (row_number() OVER (PARTITION BY game_id, slug_team ORDER BY game_date, period, stint, slug_opp, lineup, garbage_time) AS stint)
   FROM existing e WHERE secs_played + poss_opp + poss_team + pts_opp + pts_team > 0"""),
-("stats_ids", "SELECT s.*, i.lineup_id, i.season FROM stats s LEFT JOIN idx i USING (lineup)"),
+("stats_ids", "SELECT s.*, i.lineup_id, i.season FROM stats s JOIN calendar c USING (game_id) LEFT JOIN idx i ON i.lineup = s.lineup AND i.season = c.season_id"),
 ("slots", """SELECT game_id, number_event, role, team, slot, name FROM (
   SELECT game_id, number_event, 'off' AS role, off_slug_team AS team, unnest(range(1, 6)) AS slot, unnest(list_slice(list_concat(string_split(off_lineup, ', '),
     [NULL, NULL, NULL, NULL, NULL]), 1, 5)) AS name FROM od WHERE off_lineup IS NOT NULL
@@ -222,7 +223,7 @@ STEPS = [*FEED, PLAYER_LOGS, PERIOD_BOX,
   + " FROM slot_ids GROUP BY game_id, number_event"),
 ("with_ids", """SELECT o.*, w.* EXCLUDE (game_id, number_event), io.lineup_id AS off_lineup_id, id_.lineup_id AS def_lineup_id FROM od o
   LEFT JOIN wide_ids w ON w.game_id = o.game_id AND w.number_event = o.number_event
-  LEFT JOIN idx io ON io.lineup = o.off_lineup LEFT JOIN idx id_ ON id_.lineup = o.def_lineup"""),
+  LEFT JOIN idx io ON io.lineup = o.off_lineup AND io.season = o.season LEFT JOIN idx id_ ON id_.lineup = o.def_lineup AND id_.season = o.season"""),
 ("all_slots", """SELECT game_id, number_event, role, team, unnest(string_split(names, ', ')) AS name, unnest(range(1, len(string_split(names, ', ')) + 1)) AS slot FROM (
   SELECT game_id, number_event, 'off' AS role, off_slug_team AS team, off_lineup AS names FROM od WHERE off_lineup IS NOT NULL
   UNION ALL SELECT game_id, number_event, 'def', def_slug_team, def_lineup FROM od WHERE def_lineup IS NOT NULL)"""),

@@ -46,7 +46,7 @@ STATEMENTS = {
     f"SELECT '{name}' AS dataset, '{title}' AS title, count(*) AS n_rows FROM {table}" for (name, title), table in _REGISTRY),
 # projections, filters, predicates
 "filter_events": over("ev", """SELECT game_id, number_event, msg_type, off_slug_team FROM ev
-  WHERE msg_type IN (1, 2, 3, 12) AND (off_slug_team IS NULL OR off_slug_team <> 'HOM')"""),
+  WHERE msg_type IN (1, 2, 3, 12) AND (off_slug_team IS NULL OR off_slug_team <> 'T04')"""),
 "group_filter_null": """SELECT *, count(*) OVER w AS n_lines, min(l_quantity) OVER w AS least FROM (
   SELECT l_orderkey, l_linenumber, CASE WHEN l_suppkey % 7 <> 0 THEN l_suppkey END AS supplier, l_quantity FROM lineitem
   QUALIFY max(l_quantity) OVER (PARTITION BY CASE WHEN l_suppkey % 7 <> 0 THEN l_suppkey END) >= 30) WINDOW w AS (PARTITION BY supplier)""",
@@ -195,7 +195,7 @@ STATEMENTS = {
 "perspective": over("persp", """SELECT game_id, period, number_event, msg_type, secs_played, garbage_time, lineup_location, lineup,
   CAST(pts_team AS BIGINT) AS pts_team, CAST(pts_opp AS BIGINT) AS pts_opp, CAST(poss_team AS BIGINT) AS poss_team, CAST(poss_opp AS BIGINT) AS poss_opp,
   slug_team, slug_opp, stint FROM persp"""),
-"lineup_stats_existing": over("existing", "SELECT *, 2024 AS season FROM existing"),
+"lineup_stats_existing": over("existing", "SELECT e.*, c.season_id AS season FROM existing e JOIN calendar c USING (game_id)"),
 "lineup_stats": over("stats_ids", "SELECT * FROM stats_ids"),
 "lineup_index": over("idx", "SELECT season, lineup, lineup_id FROM idx"),
 "attach_lineup_ids": over("with_ids", "SELECT game_id, number_event, off_lineup, def_lineup, off_lineup_id, def_lineup_id, season FROM with_ids"),

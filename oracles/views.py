@@ -20,11 +20,11 @@ FEED = [
 ("feed", """SELECT game_id, period,
   concat(lpad(CAST(CAST(floor(rem / 60) AS INT) AS VARCHAR), 2, '0'), ':', lpad(CAST(rem % 60 AS VARCHAR), 2, '0'), '.0') AS clock,
   number_event, msg_type, act_type,
-  CASE side WHEN 'h' THEN 1 WHEN 'a' THEN 2 END AS team_id,
-  CASE CASE WHEN msg_type = 6 THEN other ELSE side END WHEN 'h' THEN 1 WHEN 'a' THEN 2 END AS off_team_id,
-  CASE side WHEN 'h' THEN 100 WHEN 'a' THEN 200 END + CASE WHEN mode = 1 THEN k % 4 + CASE WHEN period = 4 THEN 4 ELSE 0 END ELSE k % 8 END AS player1_id,
-  CASE side WHEN 'h' THEN 100 WHEN 'a' THEN 200 END + CASE WHEN mode = 1 THEN (k + 3) % 4 + CASE WHEN period = 4 THEN 4 ELSE 0 END ELSE (k + 3) % 8 END AS player2_id,
-  CASE WHEN msg_type = 6 THEN CASE other WHEN 'h' THEN 100 WHEN 'a' THEN 200 END + CASE WHEN mode = 1 THEN (k + 5) % 4 + CASE WHEN period = 4 THEN 4 ELSE 0 END ELSE (k + 5) % 8 END END AS player3_id,
+  CASE side WHEN 'h' THEN CAST(game_id % 12 + 1 AS INT) WHEN 'a' THEN CAST((game_id + 5) % 12 + 1 AS INT) END AS team_id,
+  CASE CASE WHEN msg_type = 6 THEN other ELSE side END WHEN 'h' THEN CAST(game_id % 12 + 1 AS INT) WHEN 'a' THEN CAST((game_id + 5) % 12 + 1 AS INT) END AS off_team_id,
+  CASE side WHEN 'h' THEN (game_id % 12 + 1) * 100 WHEN 'a' THEN ((game_id + 5) % 12 + 1) * 100 END + CASE WHEN mode = 1 THEN k % 4 + CASE WHEN period = 4 THEN 4 ELSE 0 END ELSE k % 8 END AS player1_id,
+  CASE side WHEN 'h' THEN (game_id % 12 + 1) * 100 WHEN 'a' THEN ((game_id + 5) % 12 + 1) * 100 END + CASE WHEN mode = 1 THEN (k + 3) % 4 + CASE WHEN period = 4 THEN 4 ELSE 0 END ELSE (k + 3) % 8 END AS player2_id,
+  CASE WHEN msg_type = 6 THEN CASE other WHEN 'h' THEN (game_id % 12 + 1) * 100 WHEN 'a' THEN ((game_id + 5) % 12 + 1) * 100 END + CASE WHEN mode = 1 THEN (k + 5) % 4 + CASE WHEN period = 4 THEN 4 ELSE 0 END ELSE (k + 5) % 8 END END AS player3_id,
   CASE msg_type WHEN 1 THEN 'Made shot' WHEN 2 THEN 'Missed shot'
     WHEN 3 THEN concat(CASE WHEN k % 4 = 0 THEN 'Missed ' ELSE '' END, 'Free Throw', CASE act_type WHEN 16 THEN ' Technical' ELSE '' END)
     WHEN 6 THEN CASE act_type WHEN 11 THEN 'Technical foul' WHEN 2 THEN 'Shooting foul (2 FT)' ELSE 'Personal foul' END
@@ -32,12 +32,14 @@ FEED = [
   CASE WHEN msg_type = 3 THEN 1 WHEN mode = 1 THEN CASE side WHEN 'h' THEN 3 ELSE 1 END WHEN side IS NOT NULL THEN CAST(1 + k % 3 AS INT) END AS desc_value FROM feed_acts"""),
 ]
 
-PLAYER_LOGS = ("player_logs", """SELECT g.game_id, 2024 AS season_id, DATE '2024-01-01' AS game_date,
-  CASE s.side WHEN 'h' THEN 'HOM' ELSE 'AWY' END AS team_abbreviation, CASE s.side WHEN 'h' THEN 1 ELSE 2 END AS team_id,
-  CASE s.side WHEN 'h' THEN 'home' ELSE 'away' END AS team_location,
-  CASE s.side WHEN 'h' THEN 'HOM vs. AWY' ELSE 'AWY @ HOM' END AS matchup,
-  CAST(CASE s.side WHEN 'h' THEN 100 ELSE 200 END + n.n AS INT) AS player_id, concat(s.side, CAST(n.n AS VARCHAR)) AS player_name
-  FROM (SELECT DISTINCT CAST(user_id AS INT) AS game_id FROM events) g, (VALUES ('h'), ('a')) AS s(side), range(8) AS n(n)""")
+_SLUG = "CASE WHEN {0} = 4 AND season_id = 2023 THEN 'MOV' ELSE concat('T', lpad(CAST({0} AS VARCHAR), 2, '0')) END"
+PLAYER_LOGS = ("player_logs", f"""SELECT game_id, season_id, CAST(make_date(season_id, 1, 1) + CAST(game_id % 200 AS INT) AS DATE) AS game_date,
+  {_SLUG.format('team_id')} AS team_abbreviation, team_id, side AS team_location,
+  concat({_SLUG.format('team_id')}, CASE side WHEN 'home' THEN ' vs. ' ELSE ' @ ' END, {_SLUG.format('other')}) AS matchup,
+  CAST(team_id * 100 + n AS INT) AS player_id, concat('p', CAST(team_id * 100 + n AS VARCHAR), CASE WHEN n = 3 AND season_id = 2024 THEN ' II' ELSE '' END) AS player_name
+  FROM (SELECT game_id, CAST(2022 + game_id % 3 AS INT) AS season_id, side, n, CAST(CASE side WHEN 'home' THEN game_id % 12 ELSE (game_id + 5) % 12 END + 1 AS INT) AS team_id,
+    CAST(CASE side WHEN 'home' THEN (game_id + 5) % 12 ELSE game_id % 12 END + 1 AS INT) AS other
+    FROM (SELECT DISTINCT CAST(user_id AS INT) AS game_id FROM events) g, (VALUES ('home'), ('away')) AS s(side), range(8) AS n(n))""")
 
 PERIOD_BOX = ("period_box", """SELECT r.game_id, CAST(p.period AS INT) AS period, r.player_id, r.player_name, r.team_abbreviation,
   CASE WHEN r.player_id % 8 = (r.game_id + p.period) % 8 THEN '10:00' ELSE '05:00' END AS min,

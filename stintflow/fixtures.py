@@ -8,10 +8,24 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from .plans.season import LandedTables
 
-SEASON, GAME_DATE = 2024, "2024-01-01"
+FIRST_SEASON, SEASONS, TEAMS = 2022, 3, 12
 PERIODS, PLAYERS_PER_TEAM = 4, 8
 
 
+def season_of_game() -> Column:
+    """Three seasons of games."""
+    return F.lit(FIRST_SEASON) + F.col("game_id") % SEASONS
+
+
+def home_id() -> Column:
+    """Twelve teams; which two meet follows from the game."""
+    return (F.col("game_id") % TEAMS + 1).cast("int")
+
+
+def away_id() -> Column:
+    return ((F.col("game_id") + 5) % TEAMS + 1).cast("int")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -50,10 +64,10 @@ def feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     def player(team: Column, shift: int) -> Column:
         bench = F.when(F.col("period") == PERIODS, 4).otherwise(0)
         number = F.when(mode == 1, (k + shift) % 4 + bench).otherwise((k + shift) % 8)
-        return F.when(team == "h", 100 + number).when(team == "a", 200 + number).cast("int")
+        return F.when(team == "h", home_id() * 100 + number).when(team == "a", away_id() * 100 + number).cast("int")
 
     def team_id(team: Column) -> Column:
-        return F.when(team == "h", 1).when(team == "a", 2)
+        return F.when(team == "h", home_id()).when(team == "a", away_id())
     text = (F.when(kind == 1, "Made shot").when(kind == 2, "Missed shot")
             .when(kind == 3, F.concat(F.when(k % 4 == 0, "Missed ").otherwise(""), F.lit("Free Throw"),
                                       F.when(act == 16, " Technical").otherwise("")))
@@ -71,16 +85,22 @@ def feed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def player_logs_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Eight players per team and game, with the upper-case column names of a landed log."""
+    """Eight players per team and game, with the upper-case column names of a landed log.
+
+    One team has another abbreviation in the second season, and every team's fourth player another name in the third.
+    """
     games = table(spark, sf_dir, "events").select(F.col("user_id").cast("int").alias("game_id")).distinct()
-    sides = F.array(*[F.struct(*[F.lit(v).alias(name) for name, v in zip(("side", "TEAM_ABBREVIATION", "TEAM_ID", "MATCHUP", "first_id"), row)])
-                      for row in (("h", "HOM", "1", "HOM vs. AWY", 100), ("a", "AWY", "2", "AWY @ HOM", 200))])
-    rows = games.select("game_id", F.inline(sides)).select("*", F.explode(F.sequence(F.lit(0), F.lit(PLAYERS_PER_TEAM - 1))).alias("n"))
+    sides = F.array(F.struct(F.lit("home").alias("side"), home_id().alias("team"), away_id().alias("other")), F.struct(F.lit("away").alias("side"), away_id().alias("team"), home_id().alias("other")))
+    rows = games.select("game_id", season_of_game().alias("season"), F.inline(sides)).select("*", F.explode(F.sequence(F.lit(0), F.lit(PLAYERS_PER_TEAM - 1))).alias("n"))
+
+    def slug(team: str) -> Column:
+        return F.when((F.col(team) == 4) & (F.col("season") == FIRST_SEASON + 1), "MOV").otherwise(F.concat(F.lit("T"), F.lpad(F.col(team).cast("string"), 2, "0")))
+    player = F.col("team") * 100 + F.col("n")
     return rows.select(
-        F.col("game_id").cast("string").alias("GAME_ID"), F.lit(SEASON).alias("SEASON_ID"),
-        F.lit(GAME_DATE).cast("date").alias("GAME_DATE"), "TEAM_ABBREVIATION", "TEAM_ID", "MATCHUP",
-        (F.col("first_id") + F.col("n")).cast("string").alias("PLAYER_ID"),
-        F.concat("side", F.col("n").cast("string")).alias("PLAYER_NAME"))
+        F.col("game_id").cast("string").alias("GAME_ID"), F.col("season").alias("SEASON_ID"),
+        F.date_add(F.make_date("season", F.lit(1), F.lit(1)), F.col("game_id") % 200).alias("GAME_DATE"), slug("team").alias("TEAM_ABBREVIATION"), F.col("team").cast("string").alias("TEAM_ID"),
+        F.concat(slug("team"), F.when(F.col("side") == "home", " vs. ").otherwise(" @ "), slug("other")).alias("MATCHUP"), player.cast("string").alias("PLAYER_ID"),
+        F.concat(F.lit("p"), player.cast("string"), F.when((F.col("n") == 3) & (F.col("season") == FIRST_SEASON + 2), " II").otherwise("")).alias("PLAYER_NAME"))
 
 
 def player_logs(spark: SparkSession, sf_dir: str) -> DataFrame:

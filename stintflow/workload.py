@@ -175,7 +175,7 @@ def dataset_registry(spark, sf_dir):
 @query
 def filter_events(spark, sf_dir):
     rows = event_log(spark, sf_dir).frame()
-    return rows.where(F.col("msg_type").isin(1, 2, 3, 12) & not_in(F.col("off_slug_team"), ["HOM"])).select(
+    return rows.where(F.col("msg_type").isin(1, 2, 3, 12) & not_in(F.col("off_slug_team"), ["T04"])).select(
         "game_id", "number_event", "msg_type", "off_slug_team")
 
 
