@@ -196,7 +196,10 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
 def keep_one(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """One row of each group of near duplicates, with all its columns: rows are told apart by a written number, so of repeated rows, and of
     copies without doc_id, one stays as well. It is the row with the smallest doc_id; one without doc_id stays only if no other has one."""
-    numbered = stage(docs.withColumn("__row", F.monotonically_increasing_id()))
+    # Numbers follow the ids, so that the document that stays is also the one its bucket is compared with; equal ids spread by a further number.
+    order = [F.col("doc_id").asc_nulls_last(), F.col("__no")]
+    ordered = docs.withColumn("__no", F.monotonically_increasing_id()).repartitionByRange(*order).sortWithinPartitions(*order)
+    numbered = stage(ordered.withColumn("__row", F.monotonically_increasing_id()).drop("__no"))
     found = near_duplicates(numbered.select(F.col("__row").alias("doc_id"), "text"), words, percent)
     named = numbered.select("__row", "doc_id").join(found.select(F.col("doc_id").alias("__row"), "component_id"), "__row")
     first = named.groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "__row")).alias("first"))
