@@ -197,6 +197,7 @@ STATEMENTS = {
   slug_team, slug_opp, stint FROM persp"""),
 "lineup_stats_existing": over("existing", "SELECT e.*, c.season_id AS season FROM existing e JOIN calendar c USING (game_id)"),
 "lineup_stats": over("stats_ids", "SELECT * FROM stats_ids"),
+"lineup_stats_cut": over("stats_ids", "SELECT * FROM stats_ids"),
 "lineup_index": over("idx", "SELECT season, lineup, lineup_id FROM idx"),
 "attach_lineup_ids": over("with_ids", "SELECT game_id, number_event, off_lineup, def_lineup, off_lineup_id, def_lineup_id, season FROM with_ids"),
 "season_outputs": over("with_ids", " UNION ALL ".join(

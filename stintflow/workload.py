@@ -704,6 +704,13 @@ def lineup_stats(spark, sf_dir):
     return season.build_season(fx.landed(spark, sf_dir)).lineup_stats
 
 
+@query
+def lineup_stats_cut(spark, sf_dir):
+    """The same with every game of more than 64 events cut into chunks: the path of very large games."""
+    tune(spark)
+    return season.build_season(fx.landed(spark, sf_dir), max_rows=64).lineup_stats
+
+
 @query
 def lineup_index(spark, sf_dir):
     tune(spark)
