@@ -14,7 +14,7 @@ from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ..sources.shared import stage
+from ..sources.shared import stage, stage_by
 from .verbs import join_null_safe, nulls_last
 
 CHUNK = "chunk"
@@ -89,6 +89,10 @@ class EventLog(NamedTuple):
     def stage(self) -> EventLog:
         return EventLog(tuple(stage(part) for part in self.parts))
 
+    def stored_by(self, key: str) -> EventLog:
+        """Staged with the ordinary groups in buckets of ``key``. Large groups are not: a bucket would bring each back into one task."""
+        return EventLog(tuple(stage(part) if CHUNK in part.columns else stage_by(part, key) for part in self.parts))
+
 
 def beside(side: DataFrame, events: DataFrame, key: str) -> DataFrame:
     """Partition a per-group table like its events, so a join on finer keys shuffles the small side only.

@@ -36,7 +36,8 @@ def with_lineups(log: EventLog, tables: LandedTables) -> EventLog:
 
 
 def _enrich(part: DataFrame, starts: DataFrame, calendar: DataFrame) -> DataFrame:
-    """One shuffle of the events, on the game: every scan and join below works inside a game.
+    """Events stored by game are not shuffled (the engine drops the partitioning they have already), others once: every scan and join below works
+    inside a game. Large games are dealt by their chunks.
 
     Line-ups come after the possession steps because those only need scans; a synthetic last event takes the line-ups of
     the rows around it.
@@ -50,7 +51,7 @@ def _enrich(part: DataFrame, starts: DataFrame, calendar: DataFrame) -> DataFram
 
 def enriched_events(tables: LandedTables, max_rows: int = MAX_GROUP_ROWS, season: int | None = None) -> EventLog:
     """Feed -> events with line-ups, possessions, points, garbage time, roles and stints."""
-    log = ev.sequence_events(tables.feed, tables.player_logs, max_rows).stage()
+    log = ev.sequence_events(tables.feed, tables.player_logs, max_rows).stored_by("game_id")
     return log.apply(_enrich, starting_lineups(log, tables), ev.game_calendar(tables.player_logs, season))
 
 
@@ -60,8 +61,9 @@ def existing_stats(log: EventLog) -> DataFrame:
 
 
 def build_season(tables: LandedTables, max_rows: int = MAX_GROUP_ROWS, season: int | None = None) -> SeasonTables:
-    """All tables of a build, for the season asked for or for each game's own. Two things are staged because several outputs read them: events and stint sums."""
-    log = enriched_events(tables, max_rows, season).stage()
+    """All tables of a build, for the season asked for or for each game's own. Two things are staged because several outputs read them: events, stored
+    by game, and stint sums."""
+    log = enriched_events(tables, max_rows, season).stored_by("game_id")
     existing = stage(existing_stats(log))
     index = stage(stats.lineup_index(existing))
     active = stats.lineup_stats(existing, max_rows).join(index, ["season", "lineup"], "left")

@@ -1,6 +1,7 @@
 """Shared working folder for staged tables and round trips."""
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -8,6 +9,8 @@ from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+MAX_BUCKETS = 100_000  # fixed value: more are refused unless the session allows them
+
 
 def shared_folder(spark: SparkSession) -> str:
     """Folder every executor can reach: ``spark.checkpoint.dir``; a temporary one only for an unconfigured local run."""
@@ -30,8 +33,14 @@ def new_path(spark: SparkSession, label: str) -> str:
     return f"{session_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+def _table_prefix(spark: SparkSession) -> str:
+    return "staged_" + re.sub("[^a-z0-9]", "_", spark.sparkContext.applicationId.lower()) + "_"
+
+
 def clear_stages(spark: SparkSession) -> None:
     """Delete everything this application staged. Call it once the results are written; frames built on it end with it."""
+    for table in spark.catalog.listTables(pattern=f"{_table_prefix(spark)}*"):
+        spark.sql(f"DROP TABLE IF EXISTS {table.name}")
     path = spark._jvm.org.apache.hadoop.fs.Path(session_folder(spark))
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
@@ -53,3 +62,16 @@ def stage(df: DataFrame, **options: str) -> DataFrame:
     path = new_path(df.sparkSession, "stage")
     df.write.options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def stage_by(df: DataFrame, key: str) -> DataFrame:
+    """Like ``stage``, in buckets of ``key``: later windows, groupings and joins on it (or on it and more) read the table without an exchange.
+
+    There are as many buckets as shuffle partitions, so a frame that was last computed inside groups of ``key`` is written
+    without a shuffle of its own, and small tables shuffled on the key meet the buckets as they are.
+    """
+    spark = df.sparkSession
+    buckets = min(int(spark.conf.get("spark.sql.shuffle.partitions")), MAX_BUCKETS)
+    name = _table_prefix(spark) + uuid.uuid4().hex
+    df.write.format("parquet").bucketBy(buckets, key).option("path", new_path(spark, "stage")).saveAsTable(name)
+    return spark.table(name)
