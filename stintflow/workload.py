@@ -738,7 +738,7 @@ def season_outputs(spark, sf_dir):
         copied = spark.read.option("header", True).schema(stored.schema).csv(paths["csv"])
         differing = ranking.differences(copied, stored).agg(F.count(F.lit(1)).alias("n_differing"))
         sums = files.union_seasons([df.groupBy("season", "_source").agg(
-            F.count(F.lit(1)).alias("n_rows"), F.sum(F.expr(value[name])).cast("bigint").alias("total")).select(
+            F.count(F.lit(1)).alias("n_rows"), F.bround(F.sum(F.expr(value[name]))).cast("bigint").alias("total")).select(
             F.lit(name).alias("dataset"), F.lit(fmt).alias("format"), "season", "_source", "n_rows", "total") for fmt, df in {"csv": copied, "parquet": stored}.items()])
         counted.append(sums.join(differing.withColumn("dataset", F.lit(name)), "dataset"))
     return files.union_seasons(counted)
