@@ -88,3 +88,15 @@ def test_clearing_drops_the_stored_tables(spark):
     assert not any(table.name.startswith("staged_") for table in spark.catalog.listTables())
     path = spark._jvm.org.apache.hadoop.fs.Path(session_folder(spark))
     assert not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
+
+
+def test_tasks_of_a_log_follow_its_rows(spark, monkeypatch):
+    """A task keeps a sort of its rows for every scan, so the rows of a task are bounded, not the number of tasks."""
+    from stintflow.operators import scan as scans
+    monkeypatch.setattr(scans, "ROWS_PER_TASK", 50)
+    df = spark.range(3000).selectExpr("CAST(id % 300 AS INT) AS game_id", "CAST(id AS INT) AS n")
+    log = split_large_groups(df, ["game_id"], order_chunk(number="n"), 1000)
+    assert log.frame().rdd.getNumPartitions() == 60
+    log = log.stored_by("game_id").apply(scan, ["game_id"], ["n"], {"row": row_count()})
+    assert log.frame().rdd.getNumPartitions() == 60
+    assert log.frame().where("row > 10").count() == 0
