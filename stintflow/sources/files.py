@@ -18,10 +18,12 @@ def scan_csv(spark: SparkSession, path: str, schema: str | None = None) -> DataF
 def season_from_path(pattern: str = r"(?<!\d)\d{4}(?!\d)", column: str = "season"):
     """Season of the file a row came from: the last match of ``pattern`` in the file's name (``schedule_2005.csv``), else in a
     ``key=value`` folder above it. The files of a folder that Spark wrote go by the folder's name. Other digits of the path never count."""
+    # Evaluated for every row: the two last names are cut out of the long path before any pattern is tried.
     path = F.col("_metadata.file_path")
-    own = F.regexp_extract(path, r"([^/]+?)(?:/part-[^/]*)?$", 1)
+    last, above = F.substring_index(path, "/", -1), F.substring_index(F.substring_index(path, "/", -2), "/", 1)
+    own = F.when(last.startswith("part-"), above).otherwise(last)
     name = F.try_element_at(F.regexp_extract_all(own, F.lit(f"({pattern})"), F.lit(0)), F.lit(-1))
-    folder = extract_first(F.regexp_extract(path, r"^.*/[^/=]+=([^/]+)/[^/]+$", 1), pattern)
+    folder = extract_first(F.regexp_extract(above, r"^[^=]+=(.+)$", 1), pattern)
     return F.coalesce(name, folder).try_cast("int").alias(column)
 
 
