@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from stintflow import fixtures as fx
 from stintflow.plans import schedule, season
 from stintflow.sources import compact, files, publish
-from stintflow.sources.shared import new_path, shared_folder, stage
+from stintflow.sources.shared import new_path, shared_folder, stage, staging
 
 from .conftest import rows
 
@@ -170,3 +170,17 @@ def test_names_of_games_without_a_log(spark):
     got = rows(events.attach_names(feed, logs), "game_id", "number_event", "player1", "player2", "slug_team", "off_slug_team")
     # Game 2 has no log: by the season its feed states, or else by names that never changed.
     assert got == [(1, 1, "Ann", None, "OLD", None), (2, 1, "Ann", "Bea", None, "B"), (2, 2, "Ann", None, "OLD", None), (3, 1, "Ann", "Bea", "NEW", "B")]
+
+
+def test_season_patterns_never_run_over_the_long_path(spark):
+    text = str(files.season_from_path())
+    assert "file_path" in text and "regexp_extract(_metadata.file_path" not in text
+
+
+def test_datasets_are_landed_in_one_pass(spark, small, monkeypatch):
+    landings, write = [], files.write_parquet
+    monkeypatch.setattr(files, "write_parquet", lambda df, *args, **kwargs: (landings.append(args), write(df, *args, **kwargs)))
+    from stintflow.workload import QUERIES
+    with staging(spark):
+        assert QUERIES["republish_dataset"](spark, small).where("season IS NULL").count() == 0
+    assert len(landings) == 1
