@@ -1,20 +1,22 @@
 """Running score of games from a stream of events, in event order although files arrive out of order.
 
-The state of a game is its score so far and the events that the watermark has not passed yet: at most those of ``delay``. Once the watermark passes
+Games are kept in blocks of neighbouring ids. The state of a game is its score so far and the events that the watermark has not passed yet: at most those of ``delay``. Once the watermark passes
 an event, it is emitted with the score; an event that arrives at or behind the watermark is dropped, as the watermark says. A row of ``close`` (a game that
 never ends, far in the future) moves the watermark over everything at the end of a feed.
 """
 from __future__ import annotations
 
+from collections import defaultdict
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 EVENTS = "game_id long, number_event long, ts timestamp, home int, away int"
 SCORED = "game_id long, number_event long, ts timestamp, hs long, vs long"
-_STATE = "hs long, vs long, waiting array<struct<ts:long,number_event:long,home:int,away:int>>"
+_STATE = "scores array<struct<game_id:long,hs:long,vs:long>>, waiting array<struct<game_id:long,ts:long,number_event:long,home:int,away:int>>"
+GAMES_PER_STATE = 64  # a call into Python costs about as much as some hundred events, so neighbouring games share one
 CLOSING_GAME = -1
 
 
@@ -30,24 +32,33 @@ def advance(score: tuple[int, int], waiting: list[tuple], until: int) -> tuple[t
 
 
 def _score(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    hs, vs, waiting = state.get if state.exists else (0, 0, [])
-    waiting = [tuple(row) for row in waiting]
+    scores, waiting = state.get if state.exists else ([], [])
+    scores, games = {game: (hs, vs) for game, hs, vs in scores}, defaultdict(list)
+    for game, *row in waiting:
+        games[game].append(tuple(row))
     for batch in batches:
         stamps = batch["ts"].astype("datetime64[us]").astype("int64")
-        waiting += list(zip(stamps.tolist(), batch["number_event"].tolist(), batch["home"].tolist(), batch["away"].tolist()))
+        ids = batch["game_id"].astype("Int64").astype(object).where(batch["game_id"].notna(), None)
+        for game, *row in zip(ids.tolist(), stamps.tolist(), batch["number_event"].tolist(), batch["home"].tolist(), batch["away"].tolist()):
+            games[game].append(tuple(row))
     until = state.getCurrentWatermarkMs() * 1000
-    (hs, vs), waiting, out = advance((hs, vs), waiting, until)
-    state.update((hs, vs, waiting))
+    waiting, out = [], []
+    for game, rows in games.items():
+        scores[game], left, scored = advance(scores.get(game, (0, 0)), rows, until)
+        waiting += [(game, *row) for row in left]
+        out += [(game, *row) for row in scored]
+    state.update(([(game, hs, vs) for game, (hs, vs) in scores.items()], waiting))
     if waiting:
-        state.setTimeoutTimestamp(max(min(row[0] for row in waiting) // 1000, until // 1000 + 1))
+        state.setTimeoutTimestamp(max(min(row[1] for row in waiting) // 1000, until // 1000 + 1))
     if out:
-        number, ts, home, away = zip(*out)
-        yield pd.DataFrame({"game_id": key[0], "number_event": number, "ts": pd.to_datetime(list(ts), unit="us"), "hs": home, "vs": away})
+        game, number, ts, home, away = zip(*out)
+        yield pd.DataFrame({"game_id": pd.array(game, dtype="Int64"), "number_event": number, "ts": pd.to_datetime(list(ts), unit="us"), "hs": home, "vs": away})
 
 
 def running_score(events: DataFrame, delay: str) -> DataFrame:
     """Stream of ``EVENTS`` to a stream of ``SCORED``, in append mode."""
-    return events.withWatermark("ts", delay).groupBy("game_id").applyInPandasWithState(
+    blocks = events.withColumn("block", F.floor(F.col("game_id") / GAMES_PER_STATE))
+    return blocks.withWatermark("ts", delay).groupBy("block").applyInPandasWithState(
         _score, SCORED, _STATE, "append", GroupStateTimeout.EventTimeTimeout)
 
 

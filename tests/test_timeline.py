@@ -135,3 +135,19 @@ def test_streamed_score_in_order_with_late_rows_and_restart(spark, tmp_path):
 def test_advance_emits_in_order():
     state, waiting, out = score.advance((1, 0), [(5, 2, 1, 0), (3, 1, 0, 2), (9, 3, 1, 1)], 5)
     assert state == (2, 2) and waiting == [(9, 3, 1, 1)] and out == [(1, 3, 1, 2), (2, 5, 2, 2)]
+
+
+def test_one_call_scores_a_block_of_games():
+    import pandas as pd
+
+    class State:
+        exists, get = True, ([(7, 2, 1)], [(None, 4, 1, 1, 0)])
+        def getCurrentWatermarkMs(self): return 1
+        def update(self, value): self.kept = value
+        def setTimeoutTimestamp(self, at): self.at = at
+    state = State()
+    batch = pd.DataFrame({"game_id": [7, 8, 8], "number_event": [5, 6, 7], "ts": pd.to_datetime([10, 20, 5000], unit="us"), "home": [1, 0, 9], "away": [0, 3, 9]})
+    out, = score._score((0,), iter([batch]), state)
+    got = [tuple(None if v is pd.NA else v for v in row) for row in out.drop(columns="ts").itertuples(index=False)]
+    assert got == [(None, 1, 1, 0), (7, 5, 3, 1), (8, 6, 0, 3)]
+    assert state.kept == ([(7, 3, 1), (None, 1, 0), (8, 0, 3)], [(8, 5000, 7, 9, 9)]) and state.at == 5
