@@ -150,9 +150,9 @@ def occurrences(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
     done = 0
     for patterns in benchmark_passes(spark, benchmark):
-        out = (stage(out) if done else out).mapInArrow(passed(ship(spark.sparkContext, patterns)), out.schema)
+        out = (stage(out) if done else out).mapInArrow(flat.released(passed(ship(spark.sparkContext, patterns))), out.schema)
         done += 1
-    return out if done else out.mapInArrow(passed(None), out.schema)
+    return out if done else out.mapInArrow(flat.released(passed(None)), out.schema)
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -177,7 +177,7 @@ def keep_clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         return run
 
     for patterns in benchmark_passes(spark, benchmark):
-        out = (stage(out) if done else out).mapInArrow(passed(ship(spark.sparkContext, patterns)), docs.schema)
+        out = (stage(out) if done else out).mapInArrow(flat.released(passed(ship(spark.sparkContext, patterns))), docs.schema)
         done += 1
     return out
 

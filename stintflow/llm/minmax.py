@@ -82,7 +82,7 @@ def signatures(docs: DataFrame, words: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(a, b - a), pa.array(sizes), pa.array(one), pa.array(two), lists],
                                                  ["doc_id", "n_shingles", "digest_a", "digest_b", "bands"])
     key = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {key}, n_shingles long, digest_a long, digest_b long, bands array<long>")
+    return docs.select("doc_id", "text").mapInArrow(flat.released(run), f"doc_id {key}, n_shingles long, digest_a long, digest_b long, bands array<long>")
 
 
 def confirmed(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
@@ -103,7 +103,7 @@ def confirmed(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> D
     key = pairs.schema["a"].dataType.simpleString()
     with_b = pairs.join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b")
     both = with_b.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a")
-    return both.select("a", "b", "text_a", "text_b").mapInArrow(run, f"a {key}, b {key}")
+    return both.select("a", "b", "text_a", "text_b").mapInArrow(flat.released(run), f"a {key}, b {key}")
 
 
 def _fit(percent: int):
@@ -123,7 +123,7 @@ def _shingles(texts: DataFrame, words: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id").take(at), batch.column("part").take(at), pa.array(sizes[owners]), pa.array(keys.view(np.int64))],
                                                  ["doc_id", "part", "size", "shingle"])
     key = texts.schema["doc_id"].dataType.simpleString()
-    return stage(texts.select("doc_id", "text", "part").mapInArrow(run, f"doc_id {key}, part {key}, size long, shingle long"))
+    return stage(texts.select("doc_id", "text", "part").mapInArrow(flat.released(run), f"doc_id {key}, part {key}, size long, shingle long"))
 
 
 def _possible(rows: DataFrame, percent: int) -> DataFrame:

@@ -17,6 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window as W, functions as F
 
 from ..sources.shared import stage
+from . import flat
 from .tokens import Encoder, distinct_texts, vocabulary_path
 
 CAPACITY, END_ID = 1024, 2
@@ -47,7 +48,7 @@ def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = E
             yield pa.RecordBatch.from_arrays([batch.column("doc_id").take(pa.array(at)), pa.array(piece.astype(np.int32)), pa.array(start),
                                               pa.array(length), pa.array(crc)], names)
     key = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {key}, piece int, start long, length long, ids_crc32 long")
+    return docs.select("doc_id", "text").mapInArrow(flat.released(run), f"doc_id {key}, piece int, start long, length long, ids_crc32 long")
 
 
 def plan(counts: dict[int, int], capacity: int) -> tuple[np.ndarray, int]:
@@ -114,7 +115,7 @@ def pack(cuts: DataFrame, capacity: int = CAPACITY) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(sequence), pa.array(slot[:, 3])],
                                              [*batch.schema.names[:-1], "sequence_id", "offset"])
     names = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in cuts.schema.fields)
-    return ranked.mapInArrow(run, f"{names}, sequence_id long, offset long")
+    return ranked.mapInArrow(flat.released(run), f"{names}, sequence_id long, offset long")
 
 
 def packed(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:

@@ -87,7 +87,7 @@ def _batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def repetition(docs: DataFrame) -> DataFrame:
     """Counts and verdict of every text: ``doc_id`` and the columns of ``MEASURES``."""
     key = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(_batches, f"doc_id {key}, {MEASURES}")
+    return docs.select("doc_id", "text").mapInArrow(flat.released(_batches), f"doc_id {key}, {MEASURES}")
 
 
 def keep_good(docs: DataFrame) -> DataFrame:
@@ -96,7 +96,7 @@ def keep_good(docs: DataFrame) -> DataFrame:
         for batch in batches:
             if batch.num_rows:
                 yield batch.filter(pa.array(_measured(batch.column("text"))["kept"]))
-    return docs.mapInArrow(passing, docs.schema)
+    return docs.mapInArrow(flat.released(passing), docs.schema)
 
 
 def statement(limits: dict[int, float] = NGRAM_LIMITS, line_limit: float = LINE_LIMIT) -> str:

@@ -74,3 +74,12 @@ def test_long_words_and_lines_that_collide_modulo_a_power_of_two():
     keys, owners, _ = minmax.shingle_sets(data, np.array([0, size, 2 * size, 3 * size]), 4)
     assert keys[owners == 0].tolist() != keys[owners == 1].tolist() and keys[owners == 0].tolist() == keys[owners == 2].tolist()
     assert flat.LONG < 1024
+
+
+def test_a_task_gives_its_memory_back(monkeypatch):
+    from stintflow.llm import flat
+    calls = []
+    monkeypatch.setattr(flat, "give_back", lambda: calls.append(1))
+    task = flat.released(lambda batches: (2 * batch for batch in batches))(iter([1, 2]))
+    assert next(task) == 2 and not calls
+    assert list(task) == [4] and calls == [1]
