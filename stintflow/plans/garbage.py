@@ -4,7 +4,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions import ifelse_na, opponent, split_names
-from ..operators.scan import beside, group_max, scan
+from ..operators.scan import beside, chunked, group_max, scan
 from ..operators.verbs import pivot_first
 from .lineups import LINEUP_SIZE
 from .possessions import BY_EVENT
@@ -21,7 +21,7 @@ def opening_lineups(starts: DataFrame) -> DataFrame:
 
 
 def with_starter_counts(events: DataFrame, starts: DataFrame) -> DataFrame:
-    joined = events.join(beside(opening_lineups(starts), events, "game_id"), "game_id", "left")
+    joined = events.join(beside(opening_lineups(starts), events, "game_id"), chunked(["game_id"], events), "left")
     counts = {f"total_starters_{side}": F.coalesce(F.size(F.array_intersect(
         split_names(F.col(f"lineup_{side}")), split_names(F.col(f"lineup_start_{side}")))), F.lit(0))
         for side in ("home", "away")}

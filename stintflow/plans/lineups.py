@@ -4,7 +4,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions import not_in, sorted_names, type_act
-from ..operators.scan import CHUNK, beside, fill_down, fill_up, following, group_sum, row_count, scan
+from ..operators.scan import CHUNK, beside, chunked, fill_down, fill_up, following, group_sum, row_count, scan
 from ..operators.verbs import pivot_first
 
 SUBSTITUTION, PERIOD_START = 8, 12
@@ -112,7 +112,7 @@ def on_court(subs: DataFrame, starts: DataFrame) -> DataFrame:
     came = mentions.where("came").select(*PERIOD_TEAM, "player", F.col("nth").alias("since"), F.coalesce("until", F.col("n_subs") + 1).alias("until"))
     first = mentions.groupBy(*PERIOD_TEAM, "player").agg(F.min("nth").alias("until"))
     counts = subs.groupBy(*PERIOD_TEAM).agg(F.max("n_subs").alias("n_subs"))
-    began = beside(starts, subs, "game_id").select(*PERIOD_TEAM, F.explode(F.split("lineup_start", ", ")).alias("player"))
+    began = (starts if cut else beside(starts, subs, "game_id")).select(*PERIOD_TEAM, F.explode(F.split("lineup_start", ", ")).alias("player"))
     began = began.join(counts, PERIOD_TEAM).join(first, [*PERIOD_TEAM, "player"], "left").select(
         *PERIOD_TEAM, "player", F.lit(0).cast("bigint").alias("since"), F.coalesce("until", F.col("n_subs") + 1).alias("until"))
     return came.unionByName(began).where(F.col("until") > F.col("since"))
@@ -132,9 +132,9 @@ def lineup_changes(events: DataFrame, starts: DataFrame) -> DataFrame:
                                                          F.struct((F.col("nth") + 1).alias("nth"), F.lit(None).cast("string").alias("after"), F.col("player").alias("before")))))
     lineups = seen.groupBy(*PERIOD_TEAM, "nth").agg(F.collect_set("before").alias("before"), F.collect_set("after").alias("after"))
     known = starts.select(*PERIOD_TEAM, "team_location", F.lit(True).alias("known"))
-    joined = subs.join(beside(known, events, "game_id"), PERIOD_TEAM, "left").join(lineups, [*PERIOD_TEAM, "nth"], "left")
+    joined = subs.join(beside(known, subs, "game_id"), chunked(PERIOD_TEAM, subs), "left").join(lineups, [*PERIOD_TEAM, "nth"], "left")
     nobody = F.array().cast("array<string>")
-    return joined.select(*PERIOD_TEAM, "team_location", "number_event", *[
+    return joined.select(*chunked(PERIOD_TEAM, subs), "team_location", "number_event", *[
         F.when(F.col("known"), sorted_names(F.coalesce(side, nobody))).alias(f"lineup_{side}") for side in ("before", "after")])
 
 
@@ -149,11 +149,12 @@ def lineups_on_events(events: DataFrame, starts: DataFrame, changes: DataFrame |
     start_wide = pivot_first(starts, ["game_id", "period"], "team_location", ["lineup_start"], sides, ["slug_team"]
                              ).withColumn("msg_type", F.lit(PERIOD_START))
     changes = changes.withColumn("number_event", F.col("number_event").cast(events.schema["number_event"].dataType))
-    change_wide = changes.select(*key, *[
+    cut = CHUNK in events.columns and CHUNK in changes.columns
+    change_wide = changes.select(*key, *[CHUNK for _ in range(cut)], *[
         F.when(F.col("team_location") == side, F.col(name)).alias(f"{name}_{side}")
         for side in sides for name in ("lineup_before", "lineup_after")])
-    marked = (events.join(beside(start_wide, events, "game_id"), ["game_id", "period", "msg_type"], "left")
-              .join(beside(change_wide, events, "game_id"), key, "left"))
+    marked = (events.join(beside(start_wide, events, "game_id"), chunked(["game_id", "period", "msg_type"], events), "left")
+              .join(change_wide if cut else beside(change_wide, events, "game_id"), chunked(key, events), "left"))
     steps = {}
     for side in sides:
         steps[f"__down_{side}"] = fill_down(F.coalesce(f"lineup_start_{side}", f"lineup_after_{side}"))

@@ -5,7 +5,7 @@ from typing import NamedTuple
 
 from pyspark.sql import DataFrame
 
-from ..operators.scan import CHUNK, MAX_GROUP_ROWS, EventLog, beside
+from ..operators.scan import MAX_GROUP_ROWS, EventLog, beside, chunked
 from ..sources.shared import stage
 from . import events as ev, fouls, garbage, lineups, possessions, stats
 
@@ -19,7 +19,7 @@ class LandedTables(NamedTuple):
 
 
 class SeasonTables(NamedTuple):
-    play_by_play: DataFrame
+    play_by_play: DataFrame | None
     lineup_index: DataFrame
     lineup_stats: DataFrame
     lineup_stats_existing: DataFrame
@@ -36,37 +36,46 @@ def with_lineups(log: EventLog, tables: LandedTables) -> EventLog:
 
 
 def _enrich(part: DataFrame, starts: DataFrame, calendar: DataFrame) -> DataFrame:
-    """Events stored by game are not shuffled (the engine drops the partitioning they have already), others once: every scan and join below works
-    inside a game. Large games are dealt by their chunks.
+    """Events are stored by game, in as many buckets as their rows need, and are not shuffled: every scan and join below works inside a game. (Asked to
+    partition them, the engine would deal them over its own number of partitions, however many rows that makes.) Large games are stored by their chunks.
 
     Line-ups come after the possession steps because those only need scans; a synthetic last event takes the line-ups of
     the rows around it.
     """
-    by_game = part.repartition("game_id", *[c for c in part.columns if c == CHUNK])
-    out = fouls.with_points_and_possessions(possessions.possessions(by_game))
+    out = fouls.with_points_and_possessions(possessions.possessions(part))
     out = lineups.lineups_on_events(out, starts, lineups.lineup_changes(part, starts))
-    out = out.join(beside(calendar, part, "game_id"), "game_id", "left")
-    return stats.with_stints(garbage.with_off_def_lineups(garbage.with_garbage_time(out, starts)))
+    out = out.join(beside(calendar, part, "game_id"), chunked(["game_id"], part), "left")
+    return stats.with_stints(garbage.with_garbage_time(out, starts))
 
 
-def enriched_events(tables: LandedTables, max_rows: int = MAX_GROUP_ROWS, season: int | None = None) -> EventLog:
-    """Feed -> events with line-ups, possessions, points, garbage time, roles and stints."""
+def _enriched(tables: LandedTables, max_rows: int, season: int | None) -> EventLog:
     log = ev.sequence_events(tables.feed, tables.player_logs, max_rows).stored_by("game_id")
     return log.apply(_enrich, starting_lineups(log, tables), ev.game_calendar(tables.player_logs, season))
 
 
+def enriched_events(tables: LandedTables, max_rows: int = MAX_GROUP_ROWS, season: int | None = None) -> EventLog:
+    """Feed -> events with line-ups, possessions, points, garbage time, roles and stints."""
+    return _enriched(tables, max_rows, season).apply(garbage.with_off_def_lineups)
+
+
 def existing_stats(log: EventLog) -> DataFrame:
     """Stint sums of all parts; a game is in one part only, so parts never share a key."""
     return log.apply(stats.lineup_stats_existing).frame()
 
 
-def build_season(tables: LandedTables, max_rows: int = MAX_GROUP_ROWS, season: int | None = None) -> SeasonTables:
+def build_season(tables: LandedTables, max_rows: int = MAX_GROUP_ROWS, season: int | None = None, play_by_play: bool = True) -> SeasonTables:
     """All tables of a build, for the season asked for or for each game's own. Two things are staged because several outputs read them: events, stored
-    by game, and stint sums."""
-    log = enriched_events(tables, max_rows, season).stored_by("game_id")
+    by game, and stint sums. Without the play-by-play only the sums read the events, and just the columns they need are computed and nothing of them stored.
+
+    What follows from one row (roles, players by slot) is not stored but computed when the events are read.
+    """
+    log = _enriched(tables, max_rows, season)
+    log = log.stored_by("game_id") if play_by_play else log
     existing = stage(existing_stats(log))
     index = stage(stats.lineup_index(existing))
     active = stats.lineup_stats(existing, max_rows).join(index, ["season", "lineup"], "left")
+    if not play_by_play:
+        return SeasonTables(None, index, active, existing)
     members = stats.lineup_members(existing, tables.player_logs, index)
-    play_by_play = log.apply(stats.attach_lineup_ids, members).frame().drop("stint_home", "stint_away")
-    return SeasonTables(play_by_play, index, active, existing)
+    placed = log.apply(garbage.with_off_def_lineups).apply(stats.attach_lineup_ids, members, log.tasks)
+    return SeasonTables(placed.frame().drop("stint_home", "stint_away"), index, active, existing)

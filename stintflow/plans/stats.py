@@ -4,7 +4,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions import split_names, sum_na
-from ..operators.scan import (MAX_GROUP_ROWS, beside, fill_down, fill_up, nulls_last, number_rows, order_chunk, row_count,
+from ..operators.scan import (CHUNK, MAX_GROUP_ROWS, beside, chunked, fill_down, fill_up, nulls_last, number_rows, order_chunk, row_count,
                               running_sum, scan, split_large_groups)
 from .lineups import LINEUP_SIZE, SUBSTITUTION, roster
 from .possessions import BY_EVENT
@@ -87,12 +87,15 @@ def lineup_members(existing: DataFrame, player_logs: DataFrame, index: DataFrame
     return wide.join(index, ["season", "lineup"], "left")
 
 
-def attach_lineup_ids(events: DataFrame, members: DataFrame) -> DataFrame:
-    """``off_`` and ``def_`` line-up ids and player ids on every event: five slots, and ``player_ids`` with everyone."""
-    out = beside(events, events, "game_id")
+def attach_lineup_ids(events: DataFrame, members: DataFrame, tasks: int | None = None) -> DataFrame:
+    """``off_`` and ``def_`` line-up ids and player ids on every event: five slots, and ``player_ids`` with everyone.
+
+    Events stored by game in ``tasks`` buckets are read as they are.
+    """
+    out = events if CHUNK in events.columns else events.repartition(*[tasks for _ in range(tasks is not None)], "game_id")
     for role in ("off", "def"):
         ids = {c: f"{role}_{c}" for c in members.columns if c.endswith(("_id", "player_ids", "n_players")) and c != "game_id"}
         side = members.select("season", "game_id", F.col("slug_team").alias(f"{role}_slug_team"),
                               F.col("lineup").alias(f"{role}_lineup"), *[F.col(c).alias(n) for c, n in ids.items()])
-        out = out.join(beside(side, events, "game_id"), ["season", "game_id", f"{role}_slug_team", f"{role}_lineup"], "left")
+        out = out.join(beside(side, events, "game_id"), chunked(["season", "game_id", f"{role}_slug_team", f"{role}_lineup"], events), "left")
     return out
