@@ -20,17 +20,18 @@ def opening_lineups(starts: DataFrame) -> DataFrame:
                        ["home", "away"], ["slug_team"])
 
 
-def with_starter_counts(events: DataFrame, starts: DataFrame) -> DataFrame:
-    joined = events.join(beside(opening_lineups(starts), events, "game_id"), chunked(["game_id"], events), "left")
+def with_starter_counts(events: DataFrame, starts: DataFrame, log: DataFrame | None = None) -> DataFrame:
+    joined = events.join(beside(opening_lineups(starts), events if log is None else log, "game_id"), chunked(["game_id"], events), "left")
     counts = {f"total_starters_{side}": F.coalesce(F.size(F.array_intersect(
         split_names(F.col(f"lineup_{side}")), split_names(F.col(f"lineup_start_{side}")))), F.lit(0))
         for side in ("home", "away")}
     return joined.withColumns(counts).drop("lineup_start_home", "lineup_start_away")
 
 
-def with_garbage_time(events: DataFrame, starts: DataFrame) -> DataFrame:
-    """``garbage_time`` 1 while the game is decided and starters sit, unless a competitive event follows."""
-    out = with_starter_counts(events, starts)
+def with_garbage_time(events: DataFrame, starts: DataFrame, log: DataFrame | None = None) -> DataFrame:
+    """``garbage_time`` 1 while the game is decided and starters sit, unless a competitive event follows. The games and chunks are those of the stored
+    ``log`` that the events were computed from, if it is given."""
+    out = with_starter_counts(events, starts, log)
     scored = F.col("shot_pts") > 0
     margin = (F.when(scored & (F.col("slug_team") == F.col("team_home")), F.abs(F.col("hs") - F.col("shot_pts") - F.col("vs")))
               .when(scored & (F.col("slug_team") == F.col("team_away")), F.abs(F.col("vs") - F.col("shot_pts") - F.col("hs")))

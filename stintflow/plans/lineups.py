@@ -132,7 +132,7 @@ def lineup_changes(events: DataFrame, starts: DataFrame) -> DataFrame:
                                                          F.struct((F.col("nth") + 1).alias("nth"), F.lit(None).cast("string").alias("after"), F.col("player").alias("before")))))
     lineups = seen.groupBy(*PERIOD_TEAM, "nth").agg(F.collect_set("before").alias("before"), F.collect_set("after").alias("after"))
     known = starts.select(*PERIOD_TEAM, "team_location", F.lit(True).alias("known"))
-    joined = subs.join(beside(known, subs, "game_id"), chunked(PERIOD_TEAM, subs), "left").join(lineups, [*PERIOD_TEAM, "nth"], "left")
+    joined = subs.join(beside(known, events, "game_id"), chunked(PERIOD_TEAM, subs), "left").join(lineups, [*PERIOD_TEAM, "nth"], "left")
     nobody = F.array().cast("array<string>")
     return joined.select(*chunked(PERIOD_TEAM, subs), "team_location", "number_event", *[
         F.when(F.col("known"), sorted_names(F.coalesce(side, nobody))).alias(f"lineup_{side}") for side in ("before", "after")])

@@ -66,3 +66,27 @@ def test_ids_are_dense_in_every_season(spark, small):
     index = season.build_season(fx.landed(spark, small), play_by_play=False).lineup_index
     for found in index.groupBy("season").agg(F.count("lineup_id").alias("n"), F.max("lineup_id").alias("m"), F.countDistinct("lineup_id").alias("d")).collect():
         assert found.n == found.m == found.d
+
+
+def test_scans_of_chunks_write_carried_values_only(spark, small, monkeypatch):
+    """No scan writes the rows again; inside uncut places there is nothing to carry."""
+    part = ev.sequence_events(fx.feed(spark, small), fx.player_logs(spark, small), 60).stored_by("game_id").parts[1]
+    stored, staged, stage = [], [], scans.stage
+    monkeypatch.setattr(scans, "stage_by", lambda df, *args: stored.append(df.columns))
+    monkeypatch.setattr(scans, "stage", lambda df: (staged.append(df), stage(df))[1])
+    rows_of = part.count()
+    inside = scan(part, ["game_id", "secs_passed_game"], ["number_event"], {"__n": row_count()})
+    assert not staged and inside.agg(F.count("__n")).first()[0] == rows_of
+    along = scan(part, ["game_id"], ["number_event"], {"__n": row_count()})
+    assert along.where(F.col("__n") != F.col("number_event")).isEmpty()
+    assert not stored and len(staged) == 1 and staged[0].count() < rows_of / 8
+    assert not set(staged[0].columns) & set(part.columns)
+
+
+def test_large_games_are_stored_without_columns_that_only_the_play_by_play_needs(spark, small, monkeypatch):
+    stored, stage_by = [], scans.stage_by
+    monkeypatch.setattr(scans, "stage_by", lambda df, *args: (stored.append(df.columns), stage_by(df, *args))[1])
+    season.build_season(fx.landed(spark, small), 60, play_by_play=False)
+    last = next(columns for columns in reversed(stored) if "stint_home" in columns)
+    assert not {"clock", "player1", "act_type"} & set(last) and "shot_pts_home" in last
+    assert sum(CHUNK in columns for columns in stored) <= 5
