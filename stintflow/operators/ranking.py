@@ -5,6 +5,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window as W, functions as F
 
+from ..sources.shared import stage
 from .parts import AT, PART, ascending, ordered_parts
 from .scan import nulls_last
 from .verbs import join_null_safe
@@ -49,14 +50,24 @@ def top_per_group(df: DataFrame, keys: Sequence[str], order: Sequence, k: int, n
     return df.withColumn(name, F.row_number().over(W.partitionBy(*keys).orderBy(*by))).where(F.col(name) <= k)
 
 
+def _digest(columns: Sequence[str]) -> list:
+    """Two 64-bit hashes of a row, over the columns forwards and backwards. A hash skips unknown values, so which are unknown belongs to it."""
+    unknown = [F.concat(*[F.when(F.col(c).isNull(), "1").otherwise("0") for c in columns])]
+    values = [F.col(c) for c in columns]
+    return [F.xxhash64(*unknown, *values).alias("__digest"), F.xxhash64(*values[::-1], *unknown).alias("__other_digest")]
+
+
 def differences(one: DataFrame, two: DataFrame) -> DataFrame:
     """Rows that occur in one table more often than in the other, with ``only_one`` and ``only_two``: how much more often.
 
-    Columns go by name and must be the same; NULL equals NULL. Both sides are counted before the shuffle, so repeated rows travel once a task.
+    Columns go by name and must be the same; NULL equals NULL. Rows are counted by 128 bits of hashes, so 24 bytes of a row travel, and only rows whose
+    hashes occur more often on one side are read again and compared whole.
     """
     if sorted(one.columns) != sorted(two.columns):
         raise ValueError(f"columns differ: {sorted(set(one.columns) ^ set(two.columns))}")
     columns = one.columns
-    signed = one.withColumn("__n", F.lit(1)).unionByName(two.withColumn("__n", F.lit(-1)))
-    net = signed.groupBy(*columns).agg(F.sum("__n").alias("__n")).where("__n <> 0")
+    signed = one.withColumn("__n", F.lit(1)).unionByName(two.withColumn("__n", F.lit(-1))).select("*", *_digest(columns))
+    keys = ["__digest", "__other_digest"]
+    odd = stage(signed.groupBy(*keys).agg(F.sum("__n").alias("__n")).where("__n <> 0").select(*keys))
+    net = signed.join(odd, keys, "left_semi").groupBy(*columns).agg(F.sum("__n").alias("__n")).where("__n <> 0")
     return net.select(*columns, F.greatest("__n", F.lit(0)).cast("long").alias("only_one"), F.greatest(-F.col("__n"), F.lit(0)).cast("long").alias("only_two"))

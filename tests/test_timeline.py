@@ -102,6 +102,20 @@ def test_differences_count_repeats(spark):
         ranking.differences(one, two.withColumn("x", F.lit(1)))
 
 
+def test_rows_are_compared_by_digests_first(spark, monkeypatch):
+    """Only hashes are counted; values that change places with a NULL are another row, and of equal tables no whole row is compared."""
+    seen, stage = [], ranking.stage
+    monkeypatch.setattr(ranking, "stage", lambda df: (seen.append(df), stage(df))[1])
+    one = spark.createDataFrame([("a", None, 1.0, [1]), (None, "b", 0.0, None), (None, None, None, None), (None, None, None, None)], "k STRING, v STRING, x DOUBLE, l ARRAY<INT>")
+    two = spark.createDataFrame([(None, "a", 1.0, [1]), (None, "b", -0.0, None), (None, None, None, None)], "k STRING, v STRING, x DOUBLE, l ARRAY<INT>")
+    assert rows(ranking.differences(one, two), "k", "v", "x", "only_one", "only_two") == sorted(
+        [("a", None, 1.0, 1, 0), (None, "a", 1.0, 0, 1), (None, None, None, 1, 0)], key=repr)
+    assert seen[0].columns == ["__digest", "__other_digest"]
+    plan = seen[0]._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning(__digest" in plan and not any(f"hashpartitioning({c}#" in plan for c in "kvxl")
+
+
+
 def test_cube_tells_null_keys_from_totals(spark):
     df = spark.createDataFrame([("a", 1, 5), ("a", None, 6), (None, 1, 5), (None, None, 5)], "g STRING, p INT, who INT")
     got = rows(summaries.cube(df, ["g", "p"], {"n": F.count(F.lit(1)), "people": F.countDistinct("who")}), "g", "is_total_g", "p", "is_total_p", "n", "people")
